@@ -53,9 +53,11 @@ def flag_repeats(
         .groupBy("_k")
         .agg(F.min("_arrival").alias("_first"), F.count(F.lit(1)).alias("_n"))
     )
-    # Bounded by construction: at most max_hot_keys rows.
+    # Bounded by construction: at most max_hot_keys rows.  Reading both
+    # aggregates here and below keeps one shared aggregation (its shuffle is
+    # reused, not recomputed).
     hot = (
-        firsts.where(F.col("_n") > split_rows)
+        firsts.where((F.col("_n") > split_rows) & F.col("_first").isNotNull())
         .select("_k", F.ceil(F.col("_n") / F.lit(split_rows)).cast("int").alias("_buckets"), "_n")
         .orderBy(F.desc("_n"), F.asc("_k"))
         .limit(max_hot_keys)
@@ -67,21 +69,17 @@ def flag_repeats(
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in arrival]), F.col("_buckets"))
     rows = rows.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int")).drop("_buckets")
 
-    # Summary: one row per key, repeated once per salt for hot keys.
-    side = (
-        firsts.join(F.broadcast(hot), "_k", "left")
-        .select(
-            "_k",
-            "_first",
-            F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)).alias("_salt_s"),
-        )
-    )
+    # Summary: one row per key, repeated once per salt value of that key.
+    # Copies are made from the key's own count, so a hot key beyond the
+    # broadcast cap (salt 0 on every row) still meets exactly one copy.
+    buckets = F.greatest(F.ceil(F.col("_n") / F.lit(split_rows)).cast("int"), F.lit(1))
+    side = firsts.select("_k", "_first", F.explode(F.sequence(F.lit(0), buckets - 1)).alias("_salt_s"))
     joined = rows.join(
         side,
         rows[key].eqNullSafe(side["_k"]) & (rows["_salt"] == side["_salt_s"]),
         "inner",
     )
-    is_repeat = F.struct(*[F.col(c) for c in arrival]) != F.col("_first")
+    is_repeat = ~F.struct(*[F.col(c) for c in arrival]).eqNullSafe(F.col("_first"))
     return joined.withColumn(flag_col, F.when(is_repeat, 1).otherwise(0).cast("smallint")).drop(
         "_k", "_first", "_salt", "_salt_s"
     )
