@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import clean
 from ..functions.measures import order_measures, revenue
 from ..schemas import ORDER_FIELDS, VALID_CHANNELS
+from ..session import shared_dir
 from .dedup import flag_repeats
 
 # Error codes reported per field.
@@ -106,32 +107,23 @@ def validation_errors(candidates: DataFrame, seq: str = "seq") -> DataFrame:
     )
 
 
-def register_orders(
-    candidates: DataFrame,
-    dim_customers: DataFrame,
-    dim_products: DataFrame,
-    existing_ids: DataFrame,
-    seq: str = "seq",
-    **skew,
-) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) for a set of submissions.
+def _reject(field: str, code: str) -> Column:
+    return F.array(_err(field, code))
 
-    ``candidates``: the seven text fields, an arrival column ``seq`` and,
-    optionally, ``created_at`` (else the current time).  ``existing_ids``:
-    one ``order_id`` column of ids already registered or in the fact.
-    ``accepted`` has the accepted-order columns plus the fact measures;
-    ``rejected`` has (seq, order_id, field, code).
-    """
+
+def _no_rejection() -> Column:
+    return F.array().cast("array<struct<field:string,code:string>>")
+
+
+def assess(
+    candidates: DataFrame, dim_customers: DataFrame, dim_products: DataFrame, seq: str = "seq"
+) -> DataFrame:
+    """Steps 1-3 for every submission: typed fields, product cost and
+    ``_reject`` (array of (field, code); empty = eligible for an id)."""
     form = normalize_form(candidates, seq)
     if "created_at" not in form.columns:
         form = form.withColumn("created_at", F.current_timestamp())
-    v = form.withColumn("_errors", field_errors(form))
-
-    rejected_fields = v.where(F.size("_errors") > 0).select(
-        F.col(seq).alias("seq"), "order_id", F.explode("_errors").alias("e")
-    ).select("seq", "order_id", "e.field", "e.code")
-
-    ok = v.where(F.size("_errors") == 0).select(
+    v = form.select(
         F.col(seq).alias("seq"),
         "order_id",
         "customer_id",
@@ -141,32 +133,84 @@ def register_orders(
         clean.to_date(F.col("order_date"), first_token=False).alias("order_date"),
         "channel",
         "created_at",
+        field_errors(form).alias("_field_errors"),
     )
     c = dim_customers.select(F.col("customer_id").alias("_c_id"), F.lit(True).alias("_c_hit"))
     p = dim_products.select(F.col("sku").alias("_p_sku"), F.col("cost").alias("_cost"), F.lit(True).alias("_p_hit"))
-    j = ok.join(c, ok["customer_id"] == c["_c_id"], "left").join(p, F.col("sku") == p["_p_sku"], "left")
-
-    rejected_customer = j.where(F.col("_c_hit").isNull()).select(
-        "seq", "order_id", F.lit("customer_id").alias("field"), F.lit(UNKNOWN_CUSTOMER).alias("code")
+    j = v.join(c, v["customer_id"] == c["_c_id"], "left").join(p, F.col("sku") == p["_p_sku"], "left")
+    reject = (
+        F.when(F.size("_field_errors") > 0, F.col("_field_errors"))
+        .when(F.col("_c_hit").isNull(), _reject("customer_id", UNKNOWN_CUSTOMER))
+        .when(F.col("_p_hit").isNull(), _reject("sku", UNKNOWN_SKU))
+        .otherwise(_no_rejection())
     )
-    rejected_sku = j.where(F.col("_c_hit") & F.col("_p_hit").isNull()).select(
-        "seq", "order_id", F.lit("sku").alias("field"), F.lit(UNKNOWN_SKU).alias("code")
+    return j.select(
+        "seq", "order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel",
+        "created_at", "_cost", reject.alias("_reject"),
     )
-    known = j.where(F.col("_c_hit") & F.col("_p_hit")).drop("_c_id", "_c_hit", "_p_sku", "_p_hit")
-    flagged = flag_repeats(known, "order_id", ["seq"], "_repeat", **skew)
-    firsts = flagged.where(F.col("_repeat") == 0)
-    ids = existing_ids.select(F.col("order_id").alias("_e_id"))
-    taken = firsts.join(ids, firsts["order_id"] == ids["_e_id"], "left_semi")
-    accepted = firsts.join(ids, firsts["order_id"] == ids["_e_id"], "left_anti")
-
-    rejected_dup = flagged.where(F.col("_repeat") == 1).unionByName(taken).select(
-        "seq", "order_id", F.lit("order_id").alias("field"), F.lit(DUPLICATE_ID).alias("code")
+
+
+def decide(assessed: DataFrame, existing_ids: DataFrame, **skew) -> DataFrame:
+    """Step 4: the first eligible submission of an id wins unless the id is
+    already taken.  Same columns as ``assess``; ``_reject`` final."""
+    eligible = assessed.where(F.size("_reject") == 0)
+    others = assessed.where(F.size("_reject") > 0)
+    flagged = flag_repeats(eligible, "order_id", ["seq"], "_repeat", **skew)
+    # Only ids of this batch are looked up among the existing ids: the
+    # semi-join filters the (large) id table by the batch's ids, which Spark
+    # broadcasts when the batch is small.
+    first_ids = flagged.where(F.col("_repeat") == 0).select("order_id")
+    taken = (
+        existing_ids.select("order_id")
+        .join(first_ids, "order_id", "left_semi")
+        .distinct()
+        .select(F.col("order_id").alias("_t_id"), F.lit(True).alias("_taken"))
     )
+    e = flagged.join(taken, flagged["order_id"] == taken["_t_id"], "left")
+    e = e.withColumn(
+        "_reject",
+        F.when((F.col("_repeat") == 1) | F.col("_taken"), _reject("order_id", DUPLICATE_ID)).otherwise(
+            F.col("_reject")
+        ),
+    ).select(*assessed.columns)
+    return others.unionByName(e)
+
+
+def register_orders(
+    candidates: DataFrame,
+    dim_customers: DataFrame,
+    dim_products: DataFrame,
+    existing_ids: DataFrame,
+    seq: str = "seq",
+    checkpoint: bool = False,
+    **skew,
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) for a set of submissions.
+
+    ``candidates``: the seven text fields, an arrival column ``seq`` and,
+    optionally, ``created_at`` (else the current time).  ``existing_ids``:
+    an ``order_id`` column of ids already registered or in the fact.
+    ``accepted`` has the accepted-order columns plus the fact measures;
+    ``rejected`` has (seq, order_id, field, code), one row per reason.
+
+    ``checkpoint=True`` writes the assessed and the decided submissions to
+    the checkpoint folder once, so the duplicate check and the two outputs
+    do not re-run validation and lookups.
+    """
+    a = assess(candidates, dim_customers, dim_products, seq)
+    if checkpoint:
+        shared_dir(candidates.sparkSession)  # reliable checkpoints need the shared folder
+        a = a.checkpoint()
+    d = decide(a, existing_ids, **skew)
+    if checkpoint:
+        d = d.checkpoint()
     m = order_measures(F.col("quantity"), F.col("unit_price"), F.col("_cost"), F.col("order_date"))
-    accepted = accepted.select(
+    accepted = d.where(F.size("_reject") == 0).select(
         *[F.col(c) for c in REGISTERED_COLS[:8]], *[m[k].alias(k) for k in REGISTERED_COLS[8:]]
     )
-    rejected = rejected_fields.unionByName(rejected_customer).unionByName(rejected_sku).unionByName(rejected_dup)
+    rejected = d.where(F.size("_reject") > 0).select("seq", "order_id", F.explode("_reject").alias("e")).select(
+        "seq", "order_id", "e.field", "e.code"
+    )
     return accepted, rejected
 
 

@@ -17,8 +17,9 @@ from ..operators import kpis, orders, quality
 from ..sources import testdata
 from .pipeline import RawInputs, Warehouse, as_new_orders, existing_order_ids, run_batch
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _BUILDS: dict[tuple[str, str], Warehouse] = {}
+_REGISTRATIONS: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
 def testdata_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
@@ -43,15 +44,22 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def registration(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Register the test candidates against the loaded warehouse."""
-    wh = warehouse(spark, sf_dir)
-    app = testdata.raw_app_orders(spark, sf_dir)
-    return orders.register_orders(
-        testdata.raw_candidates(spark, sf_dir),
-        wh.dim_customers,
-        wh.dim_products,
-        existing_order_ids(wh, app),
-    )
+    """Register the test candidates against the loaded warehouse (once per session)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        out = _REGISTRATIONS.get(key)
+        if out is None:
+            wh = warehouse(spark, sf_dir)
+            app = testdata.raw_app_orders(spark, sf_dir)
+            out = orders.register_orders(
+                testdata.raw_candidates(spark, sf_dir),
+                wh.dim_customers,
+                wh.dim_products,
+                existing_order_ids(wh, app),
+                checkpoint=True,
+            )
+            _REGISTRATIONS[key] = out
+        return out
 
 
 def new_orders_after_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
