@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..operators import star
 from ..operators.staging import stage_customers, stage_orders, stage_products
-from ..schemas import FACT, FACT_COLS
+from ..schemas import CUSTOMERS_RAW, FACT, FACT_COLS, NEW_ORDERS, ORDERS_RAW, PRODUCTS_RAW
+from ..sources.files import CSV_SEQ, optional_table, read_csv_raw, split_rejects
 from ..session import apply_defaults, new_run_dir
 
 SILVER = ("stg_orders", "stg_customers", "stg_products")
@@ -31,6 +32,35 @@ class RawInputs:
     customers: DataFrame
     products: DataFrame
     app_orders: DataFrame | None = None
+    rejects: dict[str, DataFrame] = field(default_factory=dict)
+
+
+def csv_inputs(
+    spark: SparkSession,
+    orders_path: str,
+    customers_path: str,
+    products_path: str,
+    app_orders: str | None = None,
+) -> RawInputs:
+    """Bronze from header CSV files (every field text) plus the optional
+    accepted-orders table (catalog name or parquet path; missing = empty).
+
+    Lines with a wrong number of fields are kept aside in ``rejects``.
+    """
+    rejects = {}
+    frames = {}
+    for name, path, schema in (("orders", orders_path, ORDERS_RAW), ("customers", customers_path, CUSTOMERS_RAW),
+                               ("products", products_path, PRODUCTS_RAW)):
+        good, bad = split_rejects(read_csv_raw(spark, path, schema))
+        frames[name], rejects[name] = good, bad
+    return RawInputs(
+        orders=frames["orders"],
+        seq=CSV_SEQ,
+        customers=frames["customers"].drop(*CSV_SEQ),
+        products=frames["products"].drop(*CSV_SEQ),
+        app_orders=optional_table(spark, app_orders, NEW_ORDERS),
+        rejects=rejects,
+    )
 
 
 @dataclass
@@ -88,7 +118,10 @@ def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
 
 
 def load_staging(raw: RawInputs, wh: Warehouse, **skew) -> None:
-    """Write the three staging tables (every input row, typed and flagged)."""
+    """Write the three staging tables (every input row, typed and flagged)
+    and, for file input, the malformed lines."""
+    for name, bad in raw.rejects.items():
+        _write(bad, wh.path(f"rejects_{name}"))
     _write(stage_orders(raw.orders, raw.app_orders, raw.seq, **skew), wh.path("stg_orders"))
     _write(stage_customers(raw.customers), wh.path("stg_customers"))
     _write(stage_products(raw.products), wh.path("stg_products"))

@@ -38,10 +38,11 @@ def read_csv_raw(spark: SparkSession, path: str | list[str], schema: T.StructTyp
 
 
 def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(well-formed rows, malformed rows with their line text)."""
+    """(well-formed rows, malformed rows: line text, fields as parsed, position)."""
     good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    fields = [c for c in raw.columns if c != CORRUPT and c not in CSV_SEQ]
     bad = raw.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("line"), *[F.col(c) for c in CSV_SEQ]
+        F.col(CORRUPT).alias("line"), *[F.col(c) for c in fields], *[F.col(c) for c in CSV_SEQ]
     )
     return good, bad
 
