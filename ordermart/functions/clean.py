@@ -33,9 +33,13 @@ def _col(c: Column | str) -> Column:
 def strip(c: Column | str) -> Column:
     """``s.strip()``: remove leading and trailing whitespace (NULL stays NULL).
 
-    ``btrim`` with an explicit character set: a plain scan, no regex.
+    ``btrim`` with an explicit character set (no regex), run only when the
+    first or last character is whitespace -- most values pass untouched.
     """
-    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
+    x = _col(c)
+    ws = list(PY_WHITESPACE)
+    edge = F.substring(x, 1, 1).isin(ws) | F.substring(x, -1, 1).isin(ws)
+    return F.when(edge, F.btrim(x, F.lit(PY_WHITESPACE))).otherwise(x)
 
 
 def strip_or_empty(c: Column | str) -> Column:
