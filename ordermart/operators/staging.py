@@ -19,33 +19,35 @@ from .dedup import flag_repeats
 SOURCE_RANK = "_source_rank"  # 0 = order entry, 1 = files
 
 
-def _typed_file_orders(raw: DataFrame, seq: Sequence[str]) -> DataFrame:
+_TEXT = ("customer_id", "sku", "quantity", "unit_price", "order_date", "channel")
+_TYPED = (("_q", "int"), ("_p", "double"), ("_d", "date"))
+
+
+def _file_rows(raw: DataFrame, seq: Sequence[str]) -> DataFrame:
     return raw.select(
         clean.strip_or_empty("order_id").alias("order_id"),
-        clean.strip_or_empty("customer_id").alias("customer_id"),
-        clean.strip_or_empty("sku").alias("sku"),
-        clean.to_int("quantity").alias("quantity"),
-        clean.to_double("unit_price").alias("unit_price"),
-        clean.to_date("order_date").alias("order_date"),
-        F.lower(clean.strip_or_empty("channel")).alias("channel"),
+        *[F.col(c).cast("string").alias(c) for c in _TEXT],
+        *[F.lit(None).cast(t).alias(n) for n, t in _TYPED],
         F.lit(1).alias(SOURCE_RANK),
         *[F.col(c) for c in seq],
     )
 
 
-def _typed_app_orders(app: DataFrame, seq: Sequence[str]) -> DataFrame:
-    # Typed values pass through unchanged (text round-trip is the identity).
-    return app.select(
+def _app_rows(app: DataFrame, like: DataFrame, seq: Sequence[str]) -> DataFrame:
+    # Typed values pass through unchanged (their text round-trip is the identity).
+    out = app.select(
         clean.strip_or_empty("order_id").alias("order_id"),
-        clean.strip_or_empty("customer_id").alias("customer_id"),
-        clean.strip_or_empty("sku").alias("sku"),
-        F.col("quantity").cast("int").alias("quantity"),
-        F.col("unit_price").cast("double").alias("unit_price"),
-        F.col("order_date").cast("date").alias("order_date"),
-        F.lower(clean.strip_or_empty("channel")).alias("channel"),
+        F.col("customer_id").cast("string"),
+        F.col("sku").cast("string"),
+        *[F.lit(None).cast("string").alias(c) for c in ("quantity", "unit_price", "order_date")],
+        F.col("channel").cast("string"),
+        F.col("quantity").cast("int").alias("_q"),
+        F.col("unit_price").cast("double").alias("_p"),
+        F.col("order_date").cast("date").alias("_d"),
         F.lit(0).alias(SOURCE_RANK),
-        *[F.lit(None).alias(c) for c in seq],
+        *[F.lit(None).cast(like.schema[c].dataType).alias(c) for c in seq],
     )
+    return out
 
 
 def stage_orders(
@@ -59,25 +61,41 @@ def stage_orders(
 
     ``seq`` names the columns of ``raw_orders`` giving file order (for files
     read with ``read_csv_raw`` that is ``CSV_SEQ``).
+
+    Only the stripped ``order_id`` and the arrival key are computed before
+    the duplicate check's shuffle; the text fields are parsed after it, so
+    parsing runs at shuffle parallelism whatever the input layout (a few
+    large unsplittable files would otherwise parse in a few tasks).
     """
-    typed = _typed_file_orders(raw_orders, seq)
+    rows = _file_rows(raw_orders, seq)
     if app_orders is not None:
-        app = _typed_app_orders(app_orders, seq)
-        # keep the file side's seq types for the union
-        app = app.select(*[app[c].cast(typed.schema[c].dataType).alias(c) for c in typed.columns])
-        typed = app.unionByName(typed)
-    flagged = flag_repeats(typed, "order_id", [SOURCE_RANK, *seq], "_is_duplicate", **skew)
-    flagged = flagged.select(
-        *[c for c in typed.columns],
+        rows = _app_rows(app_orders, rows, seq).unionByName(rows)
+    flagged = flag_repeats(rows, "order_id", [SOURCE_RANK, *seq], "_is_duplicate", **skew)
+    from_app = F.col(SOURCE_RANK) == 0
+    typed = flagged.select(
+        "order_id",
+        clean.strip_or_empty("customer_id").alias("customer_id"),
+        clean.strip_or_empty("sku").alias("sku"),
+        F.when(from_app, F.col("_q")).otherwise(clean.to_int("quantity")).alias("quantity"),
+        F.when(from_app, F.col("_p")).otherwise(clean.to_double("unit_price")).alias("unit_price"),
+        F.when(from_app, F.col("_d")).otherwise(clean.to_date("order_date")).alias("order_date"),
+        F.lower(clean.strip_or_empty("channel")).alias("channel"),
         "_is_duplicate",
+        SOURCE_RANK,
+        *seq,
+    )
+    out = typed.select(
+        *[c for c in typed.columns if c not in (SOURCE_RANK, *seq)],
         clean.flag(F.col("quantity") < 0).alias("_negative_qty"),
         clean.flag(F.col("unit_price").isNull()).alias("_null_price"),
         clean.flag(F.col("order_date").isNull()).alias("_invalid_date"),
+        SOURCE_RANK,
+        *seq,
     )
     cols = [f.name for f in STG_ORDERS.fields]
     if keep_arrival:
         cols += [SOURCE_RANK, *seq]
-    return flagged.select(*cols)
+    return out.select(*cols)
 
 
 def stage_customers(raw: DataFrame) -> DataFrame:

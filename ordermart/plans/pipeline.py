@@ -109,6 +109,16 @@ class Warehouse:
     def v_orders_full(self) -> DataFrame:
         return star.orders_full(self.fact_orders, self.dim_customers, self.dim_products)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Temp views over the written tables plus ``v_orders_full``, so the
+        star schema can be queried with ``spark.sql``."""
+        names = []
+        for t in (*SILVER, *GOLD):
+            self.table(t).createOrReplaceTempView(prefix + t)
+            names.append(prefix + t)
+        self.v_orders_full().createOrReplaceTempView(prefix + "v_orders_full")
+        return names + [prefix + "v_orders_full"]
+
 
 def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w = df.write.mode("overwrite").option("compression", "snappy")

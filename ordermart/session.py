@@ -42,6 +42,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of input.
+
+    Scan splits and shuffle partitions of about ``partition_bytes`` each
+    (fits executor memory with room for sort buffers); AQE merges partitions
+    that come out smaller and splits skewed join partitions above 4x that.
+    For 100 TB this gives ~400k shuffle partitions before AQE coalescing.
+    """
+    parts = max(8, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def apply_defaults(spark: SparkSession) -> None:
     """Fill in the defaults above where the session has no value yet."""
     for k, v in _DEFAULTS.items():
