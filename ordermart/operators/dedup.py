@@ -2,21 +2,28 @@
 
 ``row_number() OVER (PARTITION BY key ORDER BY arrival)`` sends every row of
 one key to one task; if a single key (a blank order id, say) holds a third of
-the data, that task holds a third of the data.  Here the per-key first
-arrival is found with an aggregation (partial aggregation on the map side
-leaves one row per key and task), and the flag is attached by joining that
-summary back to the rows.  Keys with more than ``split_rows`` rows are split:
-their rows get a deterministic salt in ``[0, buckets)`` and the one summary
-row of such a key is repeated once per salt, so each split joins in its own
-task.  Only the hot-key list is broadcast and it is capped by
-``max_hot_keys`` rows; keys beyond the cap still join exactly, unsplit.
+the data, that task holds a third of the data.  Here:
+
+1. a count per key (hash aggregation, partial on the map side) finds the hot
+   keys -- more than ``split_rows`` rows -- capped at ``max_hot_keys``, the
+   biggest first.  This list is the only thing broadcast and its size is
+   bounded by the cap;
+2. the first arrival of each hot key is an aggregation over the hot keys'
+   rows only (bounded output, broadcast as well);
+3. rows of hot keys get a deterministic salt in ``[0, buckets)`` (the same on
+   every retry), every other row salt 0; rows are shuffled once on
+   (key, salt) and ``row_number()`` runs inside each (key, salt) group.
+
+A key that is not split keeps all its rows in one group, so ``row_number``
+is exact for it; a split key is judged against its broadcast first arrival.
+Keys beyond the cap are simply not split -- still exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SPLIT_ROWS = 2_000_000
@@ -41,47 +48,37 @@ def flag_repeats(
     """Add ``flag_col`` = 1 for every row that is not the first of its key.
 
     ``arrival`` lists the columns that order rows within a key; together with
-    the key they must be unique (ties would all count as first).  A NULL key
-    is a key like any other.  The result has the input columns plus the flag.
+    the key they must be unique.  A NULL key is a key like any other.  The
+    result has the input columns plus the flag.
     """
     split_rows = split_rows or _conf_int(df, "ordermart.skew.splitRows", DEFAULT_SPLIT_ROWS)
     max_hot_keys = max_hot_keys or _conf_int(df, "ordermart.skew.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
-
     order: Column = F.struct(*[F.col(c) for c in arrival])
-    firsts = (
-        df.select(F.col(key).alias("_k"), order.alias("_arrival"))
-        .groupBy("_k")
-        .agg(F.min("_arrival").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    )
-    # Bounded by construction: at most max_hot_keys rows.  Reading both
-    # aggregates here and below keeps one shared aggregation (its shuffle is
-    # reused, not recomputed).
-    hot = (
-        firsts.where((F.col("_n") > split_rows) & F.col("_first").isNotNull())
-        .select("_k", F.ceil(F.col("_n") / F.lit(split_rows)).cast("int").alias("_buckets"), "_n")
+
+    # 1. hot keys: bounded by construction (limit), biggest first
+    hot_keys = (
+        df.groupBy(F.col(key).alias("_k"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > split_rows)
         .orderBy(F.desc("_n"), F.asc("_k"))
         .limit(max_hot_keys)
-        .select("_k", "_buckets")
+        .select("_k", F.ceil(F.col("_n") / F.lit(split_rows)).cast("int").alias("_buckets"))
     )
-
-    # Rows: a deterministic salt (same value on every retry) for hot keys.
+    # 2. first arrival of each hot key, from the hot keys' rows only
+    hk = F.broadcast(hot_keys)
+    hot_rows = df.join(hk, df[key].eqNullSafe(hk["_k"]), "left_semi")
+    hot_first = hot_rows.groupBy(F.col(key).alias("_k")).agg(F.min(order).alias("_first"))
+    hot = hot_keys.join(hot_first, hot_keys["_k"].eqNullSafe(hot_first["_k"])).select(
+        hot_keys["_k"], "_buckets", "_first"
+    )
+    # 3. salt hot rows, one shuffle on (key, salt), rank inside each group
     rows = df.join(F.broadcast(hot), df[key].eqNullSafe(hot["_k"]), "left").drop("_k")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in arrival]), F.col("_buckets"))
-    rows = rows.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int")).drop("_buckets")
-
-    # Summary: one row per key, repeated once per salt value of that key.
-    # Copies are made from the key's own count, so a hot key beyond the
-    # broadcast cap (salt 0 on every row) still meets exactly one copy.
-    buckets = F.greatest(F.ceil(F.col("_n") / F.lit(split_rows)).cast("int"), F.lit(1))
-    side = firsts.select("_k", "_first", F.explode(F.sequence(F.lit(0), buckets - 1)).alias("_salt_s"))
-    joined = rows.join(
-        side,
-        rows[key].eqNullSafe(side["_k"]) & (rows["_salt"] == side["_salt_s"]),
-        "inner",
-    )
-    is_repeat = ~F.struct(*[F.col(c) for c in arrival]).eqNullSafe(F.col("_first"))
-    return joined.withColumn(flag_col, F.when(is_repeat, 1).otherwise(0).cast("smallint")).drop(
-        "_k", "_first", "_salt", "_salt_s"
+    rows = rows.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
+    rank = F.row_number().over(Window.partitionBy(key, "_salt").orderBy(*[F.col(c) for c in arrival]))
+    repeat = F.when(F.col("_first").isNotNull(), ~order.eqNullSafe(F.col("_first"))).otherwise(rank > 1)
+    return rows.withColumn(flag_col, F.when(repeat, 1).otherwise(0).cast("smallint")).drop(
+        "_buckets", "_first", "_salt"
     )
 
 
