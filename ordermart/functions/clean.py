@@ -22,8 +22,9 @@ PY_WHITESPACE = (
 # separators, nan and inf, see README "Known divergences").
 INT_PATTERN = r"\A[+-]?[0-9]+\z"
 FLOAT_PATTERN = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
-# strptime('%Y-%m-%d'): four-digit year, one- or two-digit month and day.
-DATE_PATTERN = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
+# strptime('%Y-%m-%d'): four-digit year, one- or two-digit month, and a
+# one- or two-digit day or a space and one digit (``%d`` accepts " 5").
+DATE_PATTERN = r"\A[0-9]{4}-[0-9]{1,2}-([0-9]{1,2}| [1-9])\z"
 
 
 def _col(c: Column | str) -> Column:
@@ -69,7 +70,7 @@ def to_date(c: Column | str, first_token: bool = True) -> Column:
     s = strip(c)
     if first_token:
         s = F.split(s, " ").getItem(0)
-    d = F.try_to_date(s, "yyyy-M-d")
+    d = F.try_to_date(F.replace(s, F.lit(" "), F.lit("")), "yyyy-M-d")
     return F.when(s.rlike(DATE_PATTERN) & (F.year(d) >= 1), d)
 
 
