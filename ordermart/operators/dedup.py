@@ -6,10 +6,9 @@ the data, that task holds a third of the data.  Here:
 
 1. a count per key (hash aggregation, partial on the map side) finds the hot
    keys -- more than ``split_rows`` rows -- capped at ``max_hot_keys``, the
-   biggest first.  This list is the only thing broadcast and its size is
-   bounded by the cap;
+   biggest first; the cap bounds the broadcast list;
 2. the first arrival of each hot key is an aggregation over the hot keys'
-   rows only (bounded output, broadcast as well);
+   rows only (partial on the map side, one row per hot key out, broadcast);
 3. rows of hot keys get a deterministic salt in ``[0, buckets)`` (the same on
    every retry), every other row salt 0; rows are shuffled once on
    (key, salt) and ``row_number()`` runs inside each (key, salt) group.

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import kpis, orders, quality
+from ..session import session_key
 from ..sources import testdata
 from .pipeline import RawInputs, Warehouse, as_new_orders, existing_order_ids, run_batch
 
@@ -34,7 +35,7 @@ def testdata_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Silver and gold tables for ``sf_dir`` (built on first use in a session)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         wh = _BUILDS.get(key)
         if wh is None:
@@ -45,7 +46,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 def registration(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Register the test candidates against the loaded warehouse (once per session)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         out = _REGISTRATIONS.get(key)
         if out is None:

@@ -67,6 +67,12 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-session caches)."""
+    app_id = spark.conf.get("spark.app.id", None)
+    return app_id or f"session-{id(spark)}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root folder shared by driver and executors.
 
