@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import kpis, orders, quality
 from ..session import session_key
 from ..sources import testdata
-from .pipeline import RawInputs, Warehouse, as_new_orders, existing_order_ids, run_batch
+from .pipeline import RawInputs, Warehouse, as_new_orders, existing_order_ids, live_fact_orders, run_batch
 
 _LOCK = threading.RLock()
 _BUILDS: dict[tuple[str, str], Warehouse] = {}
@@ -119,5 +119,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "registered_orders": lambda spark, sf: registration(spark, sf)[0],
         "rejected_orders": lambda spark, sf: registration(spark, sf)[1],
         "order_listing": lambda spark, sf: orders.order_listing(new_orders_after_registration(spark, sf)),
+        "fact_orders_live": lambda spark, sf: live_fact_orders(warehouse(spark, sf), registration(spark, sf)[0]),
+        "sales_by_month_live": lambda spark, sf: kpis.sales_by_month(
+            live_fact_orders(warehouse(spark, sf), registration(spark, sf)[0])
+        ),
     }
     return q

@@ -109,6 +109,19 @@ class Warehouse:
     def v_orders_full(self) -> DataFrame:
         return star.orders_full(self.fact_orders, self.dim_customers, self.dim_products)
 
+    def publish(self, database: str | None = None) -> list[str]:
+        """Register the written tables as external catalog tables (the
+        CREATE TABLE AS variant): data stays where the run wrote it."""
+        names = []
+        for t in (*SILVER, *GOLD):
+            name = f"{database}.{t}" if database else t
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.catalog.createTable(name, path=self.path(t), source="parquet")
+            if t == "fact_orders":
+                self.spark.catalog.recoverPartitions(name)
+            names.append(name)
+        return names
+
     def register_views(self, prefix: str = "") -> list[str]:
         """Temp views over the written tables plus ``v_orders_full``, so the
         star schema can be queried with ``spark.sql``."""
@@ -171,6 +184,15 @@ def existing_order_ids(wh: Warehouse, *others: DataFrame) -> DataFrame:
     return ids
 
 
+def live_fact_orders(wh: Warehouse, *registered: DataFrame) -> DataFrame:
+    """The fact as reports see it between batch runs: the written fact plus
+    orders accepted since (their rows already carry the fact measures)."""
+    fact = wh.fact_orders
+    for r in registered:
+        fact = fact.unionByName(r.select(*FACT_COLS))
+    return fact
+
+
 def as_new_orders(df: DataFrame) -> DataFrame:
     """Project registered / app orders onto the accepted-order columns."""
     return df.select(

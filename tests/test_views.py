@@ -19,3 +19,12 @@ def test_scale_settings():
     s = scale_settings(100 * (1 << 40))
     assert int(s["spark.sql.shuffle.partitions"]) == 409600
     assert scale_settings(1)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_publish_external_tables(spark):
+    wh = catalog.warehouse(spark, SF_SMALL)
+    spark.sql("CREATE DATABASE IF NOT EXISTS om_test")
+    names = wh.publish("om_test")
+    assert "om_test.fact_orders" in names
+    assert spark.table("om_test.fact_orders").count() == 4271
+    assert spark.sql("SELECT COUNT(DISTINCT year_month) AS m FROM om_test.fact_orders").first()["m"] == 83
