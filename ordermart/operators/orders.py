@@ -222,6 +222,7 @@ def order_listing(new_orders: DataFrame) -> DataFrame:
         "sku",
         "quantity",
         "unit_price",
+        F.format_string("%.2f", F.col("unit_price")).alias("unit_price_text"),
         revenue(F.col("quantity"), F.col("unit_price")).alias("line_total"),
         "order_date",
         "channel",
