@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,26 +13,57 @@ CORRUPT = "_corrupt_record"
 CSV_SEQ = ("_file", "_block", "_row")
 
 
-def read_csv_raw(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+class MissingColumnError(ValueError):
+    """A required column is absent from a file's header."""
+
+
+def _header(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Column names from the first line of a file -- one line read.  Only
+    splits that start at byte 0 are looked at, so the line is a header even
+    when large files are split."""
+    first = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).limit(1).collect()
+    if not first:
+        return []
+    line = first[0][0].lstrip("\ufeff")
+    return next(csv.reader([line]))
+
+
+def read_csv_raw(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
     """Read header CSV files as text columns plus the arrival sequence.
 
-    Lines with too few or too many fields keep their text in
-    ``_corrupt_record``; ``split_rejects`` separates them so none is lost.
-    Rows come back with ``_file``, ``_block`` and ``_row``, which order them
-    exactly as they appear in the files (the meaning of "first").
+    Columns are matched by the header's names, as a dict reader does: extra
+    columns are ignored, a missing required column raises
+    ``MissingColumnError``.  Every field is text.  Quoting follows RFC 4180
+    (``""`` inside quotes is one quote).  Lines with too few or too many
+    fields keep their text in ``_corrupt_record``; ``split_rejects``
+    separates them so none is lost.  Rows come back with ``_file``, ``_block``
+    and ``_row``, which order them exactly as they appear in the files (the
+    meaning of "first").  ``multi_line`` allows quoted line breaks but makes
+    each file one split.
     """
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+    names = _header(spark, path) or [f.name for f in schema.fields]
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise MissingColumnError(f"{path}: missing column(s) {missing}; header has {names}")
+    full = T.StructType(
+        [T.StructField(n, T.StringType(), True) for n in names] + [T.StructField(CORRUPT, T.StringType(), True)]
+    )
     df = (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("encoding", "UTF-8")
-        .option("multiLine", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .schema(full)
         .csv(path)
     )
     return df.select(
-        *[F.col(f.name) for f in full.fields],
+        *[F.col(f"`{f.name}`") for f in schema.fields],
+        F.col(CORRUPT),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
@@ -41,7 +74,11 @@ def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(well-formed rows, malformed rows: line text, fields as parsed, position)."""
     good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     fields = [c for c in raw.columns if c != CORRUPT and c not in CSV_SEQ]
-    bad = raw.where(F.col(CORRUPT).isNotNull()).select(
+    # Spark refuses a file scan that reads only the corrupt-record column (as
+    # bad.count() would after pruning), so the filter also reads one field;
+    # the added condition is always true.
+    reads_a_field = F.length(F.coalesce(F.col(f"`{fields[0]}`"), F.lit(""))) >= 0
+    bad = raw.where(F.col(CORRUPT).isNotNull() & reads_a_field).select(
         F.col(CORRUPT).alias("line"), *[F.col(c) for c in fields], *[F.col(c) for c in CSV_SEQ]
     )
     return good, bad

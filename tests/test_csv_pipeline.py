@@ -49,3 +49,19 @@ def test_csv_pipeline_and_rerun(spark, tmp_path):
     again = run_batch(spark, csv_inputs(spark, o, c, p), root=str(tmp_path / "wh"))
     for t in ("stg_orders", "dim_customers", "dim_products", "fact_orders"):
         assert sorted(map(tuple, again.table(t).collect())) == sorted(map(tuple, wh.table(t).collect()))
+
+
+def test_columns_by_header_name_and_quotes(spark, tmp_path):
+    from ordermart.schemas import PRODUCTS_RAW
+    from ordermart.sources.files import MissingColumnError, read_csv_raw, split_rejects
+    import pytest
+
+    p = _write(tmp_path, "products.csv",
+               'active,extra,cost,sku,category\nTrue,x,"1,5",S1,"Gift ""Box"""\nFalse,y,2,S2,\n')
+    good, bad = split_rejects(read_csv_raw(spark, p, PRODUCTS_RAW))
+    rows = {r["sku"]: r for r in good.collect()}
+    assert rows["S1"]["category"] == 'Gift "Box"' and rows["S1"]["cost"] == "1,5" and rows["S1"]["active"] == "True"
+    assert bad.count() == 0
+    q = _write(tmp_path, "bad.csv", "sku,category\nS1,A\n")
+    with pytest.raises(MissingColumnError, match="cost"):
+        read_csv_raw(spark, q, PRODUCTS_RAW)
