@@ -46,3 +46,24 @@ def test_first_rows(spark):
     df = _fixture(spark)
     firsts = first_rows(df, "k", ["rank", "s", "id"], split_rows=20)
     assert firsts.count() == df.select("k").distinct().count()
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """A blank id holding a third of all rows is split across partitions."""
+    from pyspark.sql import functions as F2
+
+    n = 3000
+    data = [("" if i % 3 == 0 else f"O{i}", 1, i % 17, i) for i in range(n)]
+    df = spark.createDataFrame(data, "k string, rank int, s int, id int")
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = flag_repeats(df, "k", ["rank", "s", "id"], "dup", split_rows=100)
+        per_part = (out.where(F2.col("k") == "").groupBy(F2.spark_partition_id().alias("p"))
+                    .count().collect())
+        got = {r["id"]: r["dup"] for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    assert got == _brute(df)
+    assert sum(r["count"] for r in per_part) == n // 3
+    assert len(per_part) > 1 and max(r["count"] for r in per_part) < n // 3
