@@ -1,4 +1,7 @@
 """The hot-key-safe first-occurrence flag equals row_number() on every input."""
+import contextlib
+import io
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -36,8 +39,10 @@ def test_matches_row_number_with_salted_hot_keys(spark):
 
 def test_hot_list_is_bounded_and_broadcast(spark):
     df = _fixture(spark)
-    plan = flag_repeats(df, "k", ["rank", "s", "id"], "dup", split_rows=20, max_hot_keys=2)._jdf.queryExecution() \
-        .executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        flag_repeats(df, "k", ["rank", "s", "id"], "dup", split_rows=20, max_hot_keys=2).explain()
+    plan = buf.getvalue()
     assert "TakeOrderedAndProject(limit=2" in plan
     assert "BroadcastExchange" in plan
 
