@@ -65,3 +65,37 @@ def test_columns_by_header_name_and_quotes(spark, tmp_path):
     q = _write(tmp_path, "bad.csv", "sku,category\nS1,A\n")
     with pytest.raises(MissingColumnError, match="cost"):
         read_csv_raw(spark, q, PRODUCTS_RAW)
+
+
+def test_duplicate_dimension_key_stops_before_gold(spark, tmp_path):  # D19
+    import os
+
+    import pytest
+
+    from ordermart.operators.star import DuplicateKeyError
+
+    o = _write(tmp_path, "orders.csv", ORDERS)
+    c = _write(tmp_path, "customers.csv", CUSTOMERS + "C1,Other,Peru,Retail,2023-03-01\n")
+    p = _write(tmp_path, "products.csv", PRODUCTS)
+    root = tmp_path / "wh"
+    with pytest.raises(DuplicateKeyError, match="C1"):
+        run_batch(spark, csv_inputs(spark, o, c, p), root=str(root))
+    assert (root / "stg_customers").exists() and (root / "stg_orders").exists()
+    assert not any((root / t).exists() for t in ("dim_customers", "dim_products", "fact_orders"))
+    assert os.listdir(root)
+
+
+def test_app_orders_from_catalog_table(spark, tmp_path):  # SRC-4
+    import datetime as dt
+
+    from ordermart.schemas import NEW_ORDERS
+
+    spark.createDataFrame(
+        [("O1", "C2", "S2", 9, 1.5, dt.date(2024, 1, 1), "export", dt.datetime(2024, 1, 1, 12, 0))], NEW_ORDERS
+    ).createOrReplaceTempView("om_new_orders")
+    o = _write(tmp_path, "orders.csv", ORDERS)
+    c = _write(tmp_path, "customers.csv", CUSTOMERS)
+    p = _write(tmp_path, "products.csv", PRODUCTS)
+    wh = run_batch(spark, csv_inputs(spark, o, c, p, app_orders="om_new_orders"), root=str(tmp_path / "wh"))
+    fact = {r["order_id"]: r for r in wh.fact_orders.collect()}
+    assert fact["O1"]["quantity"] == 9 and fact["O1"]["channel"] == "export"  # the app row wins
