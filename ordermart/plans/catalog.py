@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import kpis, orders, quality
-from ..session import session_key
+from ..session import local_path_missing, session_key
 from ..sources import testdata
 from .pipeline import RawInputs, Warehouse, as_new_orders, existing_order_ids, live_fact_orders, run_batch
 
@@ -66,7 +66,7 @@ def _pointer(spark: SparkSession, sf_dir: str) -> str | None:
 
 def _reuse(spark: SparkSession, pointer: str | None) -> Warehouse | None:
     """A completed earlier build with the same content key, if readable."""
-    if pointer is None:
+    if pointer is None or local_path_missing(pointer):
         return None
     try:
         row = spark.read.text(pointer).first()

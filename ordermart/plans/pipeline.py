@@ -75,12 +75,21 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        if name in self.extra:
-            return self.extra[name]
-        if name == "fact_orders":
-            # declared schema: the partition column keeps its text type
-            return self.spark.read.schema(FACT).parquet(self.path(name)).select(*FACT_COLS)
-        return self.spark.read.parquet(self.path(name))
+        """The written table.  Tables of a run never change once written, so
+        the DataFrame (and its file listing) is kept for later reads."""
+        if name not in self.extra:
+            if name == "fact_orders":
+                # declared schema: the partition column keeps its text type
+                df = self.spark.read.schema(FACT).parquet(self.path(name)).select(*FACT_COLS)
+            else:
+                df = self.spark.read.parquet(self.path(name))
+            self.extra[name] = df
+        return self.extra[name]
+
+    def write(self, name: str, df: DataFrame, partition_by: str | None = None) -> None:
+        """Overwrite one table of the run."""
+        self.extra.pop(name, None)
+        _write(df, self.path(name), partition_by)
 
     @property
     def stg_orders(self) -> DataFrame:
@@ -146,9 +155,9 @@ def land_bronze(raw: RawInputs, wh: Warehouse) -> RawInputs:
     (a key count, then the rows); from Parquet the first read is one column
     instead of re-tokenising every CSV line, and the sequence columns are
     fixed on disk instead of being recomputed per read."""
-    _write(raw.orders, wh.path("bronze_orders"))
+    wh.write("bronze_orders", raw.orders)
     return RawInputs(
-        orders=wh.spark.read.parquet(wh.path("bronze_orders")),
+        orders=wh.table("bronze_orders"),
         seq=raw.seq,
         customers=raw.customers,
         products=raw.products,
@@ -161,10 +170,10 @@ def load_staging(raw: RawInputs, wh: Warehouse, **skew) -> None:
     """Write the three staging tables (every input row, typed and flagged)
     and, for file input, the malformed lines."""
     for name, bad in raw.rejects.items():
-        _write(bad, wh.path(f"rejects_{name}"))
-    _write(stage_orders(raw.orders, raw.app_orders, raw.seq, **skew), wh.path("stg_orders"))
-    _write(stage_customers(raw.customers), wh.path("stg_customers"))
-    _write(stage_products(raw.products), wh.path("stg_products"))
+        wh.write(f"rejects_{name}", bad)
+    wh.write("stg_orders", stage_orders(raw.orders, raw.app_orders, raw.seq, **skew))
+    wh.write("stg_customers", stage_customers(raw.customers))
+    wh.write("stg_products", stage_products(raw.products))
 
 
 def load_consumption(wh: Warehouse, check_dates: bool = True) -> None:
@@ -175,12 +184,12 @@ def load_consumption(wh: Warehouse, check_dates: bool = True) -> None:
     """
     star.assert_unique(wh.stg_customers, "customer_id", "dim_customers")
     star.assert_unique(wh.stg_products, "sku", "dim_products")
-    _write(star.dim_customers(wh.stg_customers), wh.path("dim_customers"))
-    _write(star.dim_products(wh.stg_products), wh.path("dim_products"))
+    wh.write("dim_customers", star.dim_customers(wh.stg_customers))
+    wh.write("dim_products", star.dim_products(wh.stg_products))
     fact = star.fact_orders(wh.stg_orders, wh.dim_products, check_dates)
     # REBALANCE: hash by month, then AQE splits oversized months and merges
     # small ones, so each task writes few, evenly sized files.
-    _write(fact.hint("rebalance", "year_month"), wh.path("fact_orders"), partition_by="year_month")
+    wh.write("fact_orders", fact.hint("rebalance", "year_month"), partition_by="year_month")
 
 
 def run_batch(spark: SparkSession, raw: RawInputs, root: str | None = None, check_dates: bool = True,

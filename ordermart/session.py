@@ -8,6 +8,7 @@ which is the case in unit tests.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -67,6 +68,16 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def local_path_missing(path: str) -> bool:
+    """True only when ``path`` is a local path that does not exist (remote
+    paths are never declared missing here; readers handle them)."""
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+    elif "://" in path:
+        return False
+    return not os.path.exists(path)
+
+
 def session_key(spark: SparkSession) -> str:
     """Identity of the running application (for per-session caches)."""
     app_id = spark.conf.get("spark.app.id", None)

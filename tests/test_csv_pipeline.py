@@ -46,7 +46,7 @@ def test_csv_pipeline_and_rerun(spark, tmp_path):
     cards = kpis.kpi_cards(wh.fact_orders).first()
     assert str(cards["total_revenue"]) == "27.50" and cards["total_orders"] == 2
 
-    again = run_batch(spark, csv_inputs(spark, o, c, p), root=str(tmp_path / "wh"))
+    again = run_batch(spark, csv_inputs(spark, o, c, p), root=str(tmp_path / "wh2"))
     for t in ("stg_orders", "dim_customers", "dim_products", "fact_orders"):
         assert sorted(map(tuple, again.table(t).collect())) == sorted(map(tuple, wh.table(t).collect()))
 
