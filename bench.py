@@ -20,7 +20,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from ordermart.operators import kpis, orders  # noqa: E402
+from ordermart.operators.staging import stage_orders  # noqa: E402
 from ordermart.plans import catalog, pipeline  # noqa: E402
 from ordermart.plans.streaming_query import land_candidates  # noqa: E402
 from ordermart.session import local_session, new_run_dir  # noqa: E402
@@ -87,6 +90,15 @@ def main() -> None:
 
     times["register_batch"], _ = _timed(register_batch)
 
+    # Skew: the same staging with one blank order id holding a third of all
+    # rows (split at 50,000 rows per task), next to the unskewed run.
+    def stage_noop(orders, **kw):
+        stage_orders(orders, raw.app_orders, raw.seq, **kw).write.mode("overwrite").format("noop").save()
+
+    hot = raw.orders.withColumn("order_id", F.when(F.col("k1") % 3 == 0, F.lit("")).otherwise(F.col("order_id")))
+    times["stage_orders_compute"], _ = _timed(lambda: stage_noop(raw.orders))
+    times["stage_orders_hot_key_compute"], _ = _timed(lambda: stage_noop(hot, split_rows=50_000))
+
     run = new_run_dir(spark, "bench-stream")
     land_candidates(spark, sf_dir, f"{run}/landing")
 

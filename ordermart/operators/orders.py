@@ -210,7 +210,7 @@ def register_orders(
     )
     rejected = d.where(F.size("_reject") > 0).select("seq", "order_id", F.explode("_reject").alias("e")).select(
         "seq", "order_id", "e.field", "e.code"
-    )
+    ).select(*REJECTED_COLS)
     return accepted, rejected
 
 
