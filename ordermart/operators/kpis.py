@@ -13,7 +13,7 @@ Scale notes
   aggregate again.  The join then sees at most one row per key, so a hot
   customer or SKU cannot skew it, and the shuffle carries partial sums
   instead of order rows.  Exact because the dimension key is unique.
-* Only one-row results are broadcast (grand totals).
+* Grand totals are scalar subqueries (one value, no join).
 """
 
 from __future__ import annotations
@@ -87,15 +87,15 @@ def sales_by_channel(fact: DataFrame, unique_ids: bool = True) -> DataFrame:
         money_sum("gross_profit").alias("gross_profit"),
         _orders(unique_ids).alias("orders"),
     )
-    grand = per_channel.agg(F.sum("revenue").alias("_total"))  # exactly one row
+    # grand total as a scalar subquery: computed once, no join needed
+    grand = per_channel.agg(F.sum("revenue")).scalar()
     return (
-        per_channel.crossJoin(F.broadcast(grand))
-        .select(
+        per_channel.select(
             "channel",
             "revenue",
             "gross_profit",
             "orders",
-            pct_of(F.col("revenue"), F.col("_total")).alias("revenue_share_pct"),
+            pct_of(F.col("revenue"), grand).alias("revenue_share_pct"),
         )
         .orderBy(F.desc_nulls_first("revenue"), F.asc_nulls_last("channel"))
     )

@@ -60,18 +60,17 @@ def summary(
         F.count(F.lit(1)).cast(COUNT).alias("raw_orders"),
         *[_count_if(F.col(c) == 1).alias(label) for label, c in FLAG_LABELS],
     )
-    f = fact.agg(
-        F.count(F.lit(1)).cast(COUNT).alias("clean_orders"),
-        F.round(F.sum("revenue"), 2).cast(MONEY_SUM).alias("total_revenue"),
-        F.round(F.sum("gross_profit"), 2).cast(MONEY_SUM).alias("total_gross_profit"),
+    # Figures of the other tables are scalar subqueries; Spark merges the
+    # ones over the same table into one aggregation.
+    return s.select(
+        "*",
+        fact.agg(F.count(F.lit(1)).cast(COUNT)).scalar().alias("clean_orders"),
+        fact.agg(F.round(F.sum("revenue"), 2).cast(MONEY_SUM)).scalar().alias("total_revenue"),
+        fact.agg(F.round(F.sum("gross_profit"), 2).cast(MONEY_SUM)).scalar().alias("total_gross_profit"),
+        dim_customers.agg(_count_if(F.col("country") == "Unknown")).scalar().alias("unknown_country"),
+        dim_customers.agg(_count_if(F.col("segment") == "Unknown")).scalar().alias("unknown_segment"),
+        dim_products.agg(_count_if(F.col("category") == "Unknown")).scalar().alias("unknown_category"),
     )
-    c = dim_customers.agg(
-        _count_if(F.col("country") == "Unknown").alias("unknown_country"),
-        _count_if(F.col("segment") == "Unknown").alias("unknown_segment"),
-    )
-    p = dim_products.agg(_count_if(F.col("category") == "Unknown").alias("unknown_category"))
-    # each side is a single-row aggregate
-    return s.crossJoin(F.broadcast(f)).crossJoin(F.broadcast(c)).crossJoin(F.broadcast(p))
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -103,11 +102,11 @@ def fact_key_violations(fact: DataFrame) -> DataFrame:
 def null_quantity(stg_orders: DataFrame, fact: DataFrame) -> DataFrame:
     """Unparsable quantities are not flagged; show how many reach the fact."""
     s = stg_orders.agg(_count_if(F.col("quantity").isNull()).alias("staged_null_quantity"))
-    f = fact.agg(
-        _count_if(F.col("quantity").isNull()).alias("fact_null_quantity"),
-        _count_if(F.col("revenue").isNull()).alias("fact_null_revenue"),
+    return s.select(
+        "*",
+        fact.agg(_count_if(F.col("quantity").isNull())).scalar().alias("fact_null_quantity"),
+        fact.agg(_count_if(F.col("revenue").isNull())).scalar().alias("fact_null_revenue"),
     )
-    return s.crossJoin(F.broadcast(f))
 
 
 def negative_cost(dim_products: DataFrame) -> DataFrame:

@@ -66,9 +66,13 @@ def test_only_calendar_bounded_window_in_reports(spark):
     assert "HashAggregate(keys=[year_month" in p[window_at:]  # window input is the monthly aggregate
 
 
-def test_channel_share_broadcasts_only_a_single_row(spark):
+def test_no_cross_joins_totals_are_scalar_subqueries(spark):
+    from ordermart.operators import quality
+
     wh = catalog.warehouse(spark, SF_SMALL)
-    p = _plan(kpis.sales_by_channel(wh.fact_orders))
-    assert "BroadcastNestedLoopJoin" in p
-    b = p.index("BroadcastExchange IdentityBroadcastMode")
-    assert "HashAggregate(keys=[], functions=[sum(" in p[b:]
+    for df in (kpis.sales_by_channel(wh.fact_orders),
+               quality.summary(wh.stg_orders, wh.fact_orders, wh.dim_customers, wh.dim_products),
+               quality.null_quantity(wh.stg_orders, wh.fact_orders)):
+        p = _plan(df)
+        assert "Subquery" in p
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
