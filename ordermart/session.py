@@ -91,7 +91,13 @@ def shared_dir(spark: SparkSession) -> str:
     dir).  Only when neither is set -- local tests -- a fresh folder under the
     system temp dir is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session without a local context
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir is not set") from None
+        return root.rstrip("/")
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
