@@ -57,3 +57,28 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     write(_cands(spark, BATCH_A), 0)
     again = sorted(map(tuple, read_outputs(spark, out)[0].collect()))
     assert first == again and len(first) == 2
+
+
+def test_processing_time_trigger_picks_up_new_files(spark, tmp_path):
+    import time
+
+    c, p = _dims(spark)
+    existing = spark.createDataFrame([("E1",)], "order_id string")
+    land, out, ck = str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / "ck")
+    _cands(spark, BATCH_A).coalesce(1).write.option("timestampNTZFormat", TS_FORMAT).json(f"{land}/a")
+    q = start_registration(spark, f"{land}/*", out, ck, lambda: (c, p), lambda: existing,
+                           available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        _cands(spark, BATCH_B).coalesce(1).write.option("timestampNTZFormat", TS_FORMAT).json(f"{land}/b")
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            q.processAllAvailable()
+            if read_outputs(spark, out)[1].count() == 5:
+                break
+            time.sleep(1)
+    finally:
+        q.stop()
+    acc, rej = read_outputs(spark, out)
+    assert sorted(r["order_id"] for r in acc.collect()) == ["N1", "N2"]
+    assert rej.count() == 5
