@@ -214,6 +214,11 @@ def register_orders(
     return accepted, rejected
 
 
+def order_count(new_orders: DataFrame) -> DataFrame:
+    """Number of accepted orders (the listing's header figure)."""
+    return new_orders.agg(F.count(F.lit(1)).cast("bigint").alias("orders"))
+
+
 def order_listing(new_orders: DataFrame) -> DataFrame:
     """Accepted orders newest first, with the line total and a display time."""
     return new_orders.select(

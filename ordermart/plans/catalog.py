@@ -178,6 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "registered_orders": lambda spark, sf: registration(spark, sf)[0],
         "rejected_orders": lambda spark, sf: registration(spark, sf)[1],
         "order_listing": lambda spark, sf: orders.order_listing(new_orders_after_registration(spark, sf)),
+        "order_listing_count": lambda spark, sf: orders.order_count(new_orders_after_registration(spark, sf)),
         "fact_orders_live": lambda spark, sf: live_fact_orders(warehouse(spark, sf), registration(spark, sf)[0]),
         "sales_by_month_live": lambda spark, sf: kpis.sales_by_month(
             live_fact_orders(warehouse(spark, sf), registration(spark, sf)[0])
