@@ -53,14 +53,14 @@ def queries() -> dict[str, Query]:
 
 #: Words of a text, A-Z folded, as a list.
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), w -> w <> '')"""
+    '[\x20\x09-\x0D]+'), lambda w: w <> '')"""
 
 OP1_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 h AS (SELECT page_id, strlen(body) AS n, sha1(body) AS hex FROM p),
 f AS (SELECT hex, min(page_id) AS first_id FROM h GROUP BY hex)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + CAST((CAST('0x' || substr(hex, CAST((i // 4) * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT), 1)), '') AS payload_digest,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
@@ -69,7 +69,7 @@ FROM h JOIN f USING (hex)
 
 OP8_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-sets AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')))
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM d),
 each AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.g = b.g AND a.doc_id <> b.doc_id
