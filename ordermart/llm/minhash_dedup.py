@@ -6,11 +6,12 @@ Every document has the set of its distinct word shingles (64-bit hashes).
    give candidates.  Values are taken rarest first and only as many as a pair
    that can reach the similarity must share (prefix filter), so a passage that
    many documents have in common drops out of the lists without a cap.
-3. In each list a document is first held against one hub of its size band
-   (rows linear in the list); the sketch of the union estimates the
-   similarity, and pairs that may reach it are verified on full sets.
-4. Lists whose members are still in different components are searched whole,
-   in blocks, between components only.
+3. In each list a document is first held against one hub of its size band,
+   another one in each list (rows linear in the lists); the sketch of the union
+   estimates the similarity, and the likeliest hubs of a document are verified
+   on full sets.  That joins most of a group.
+4. Pairs with the other hubs, and lists whose members are still in different
+   components, are searched whole, in blocks, between components only.
 Links join the components; the smallest id names each.
 
 A pair at exactly the similarity is lost in step 2 when fewer than
@@ -34,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import textops as T
 from .common import components, cut, lookup
@@ -95,18 +97,18 @@ def _may_link(a: np.ndarray, na: int, b: np.ndarray, nb: int, k: int, num: int,
 
 
 def _estimated(k: int, num: int, den: int, least: int):
-    """(a, na, sa, b, nb, sb) rows -> those that may link."""
+    """(a, na, sa, b, nb, sb) rows -> those that may link, and how close."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             c = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
             na, nb = c["na"].to_pylist(), c["nb"].to_pylist()
             sa, sb = c["sa"].to_pylist(), c["sb"].to_pylist()
-            keep = [
-                _may_link(np.frombuffer(x, np.uint64), p, np.frombuffer(y, np.uint64), q, k, num, den, least)
-                for x, p, y, q in zip(sa, na, sb, nb, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([c["a"], c["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            close = []
+            for x, p, y, q in zip(sa, na, sb, nb, strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                close.append(union_estimate(x, y, k)[0] * k if _may_link(x, p, y, q, k, num, den, least) else None)
+            yield pa.RecordBatch.from_arrays([c["a"], c["b"], pa.array(close, pa.int64())], ["a", "b", "close"]).filter(pa.array([x is not None for x in close], pa.bool_()))
 
     return run
 
@@ -135,28 +137,34 @@ def _searched(k: int, num: int, den: int, least: int):
     in different components and may link."""
 
     def pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        ids = np.array([r[1] for r in rows], np.int64)
-        n = np.array([r[2] for r in rows], np.int64)
-        root = np.array([r[3] for r in rows], np.int64)
-        side = np.array([r[0] for r in rows], np.int64)
+        ids, n, root, side = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3, 0))
+        names, many = np.unique(root, return_counts=True)
+        if len(names) == 1 or side.any() and side.all():
+            return
+        # every pair between components has an end outside the largest of them
+        some = np.flatnonzero(root != names[many.argmax()])
         sk = [np.frombuffer(r[4], np.uint64) for r in rows]
-        size = np.array([len(s) for s in sk])
         _, value = np.unique(np.concatenate(sk), return_inverse=True)
-        who = np.repeat(np.arange(len(rows)), size)
-        often = np.bincount(value)[value] > 1
+        who = np.repeat(np.arange(len(rows)), [len(s) for s in sk])
+        wanted = np.zeros(int(value.max(initial=0)) + 1, bool)
+        wanted[value[np.isin(who, some)]] = True
+        often = (np.bincount(value)[value] > 1) & wanted[value]
         _, value = np.unique(value[often], return_inverse=True)
         seen = np.zeros((len(rows), int(value.max(initial=-1)) + 1), np.float32)
         seen[who[often], value] = 1
-        common = seen @ seen.T
-        small, large = np.minimum.outer(n, n), np.maximum.outer(n, n)
+        common = seen[some] @ seen.T
+        small, large = np.minimum.outer(n[some], n), np.maximum.outer(n[some], n)
         # sets within k: the overlap is exact; else at least ``least`` shared
         need = np.where(large <= k, num * (small + large) / (num + den), np.minimum(least, small * num / den))
-        ok = (common >= need - 1e-6) & (root[:, None] != root) & (den * small >= num * large)
-        ok &= ids[:, None] < ids
+        ok = (common >= need - 1e-6) & (root[some][:, None] != root) & (den * small >= num * large)
         if side.any():  # two blocks: across them only
-            ok |= ok.T
-            ok &= (side[:, None] == 0) & (side == 1)
+            ok &= side[some][:, None] != side
+        # a pair with both ends in ``some`` is met twice
+        inside = np.zeros(len(rows), bool)
+        inside[some] = True
+        ok &= ~inside | (ids[some][:, None] < ids)
         for i, j in zip(*np.nonzero(ok), strict=True):
+            i = some[i]
             if _may_link(sk[i], int(n[i]), sk[j], int(n[j]), k, num, den, least):
                 yield int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))
 
@@ -230,18 +238,18 @@ def near_duplicates(
 
     # 3. one hub for each list and size band
     near = postings.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    hubs = postings.groupBy("v", "band").agg(F.min("rep").alias("hub"))
-    cand = (
-        near.join(hubs, ["v", "band"]).where("rep <> hub")
-        .groupBy(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).agg(F.count("*").alias("shared"))
-    )
+    hubs = postings.groupBy("v", "band").agg(F.min_by("rep", F.xxhash64("rep", "v")).alias("hub"))
+    cand = near.join(hubs, ["v", "band"]).where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     left = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
 
     def may_link(pairs: DataFrame) -> DataFrame:
-        return pairs.join(left, "a").join(right, "b").mapInArrow(_estimated(k, num, den, least_shared), "a long, b long")
+        return pairs.join(left, "a").join(right, "b").mapInArrow(_estimated(k, num, den, least_shared), "a long, b long, close long")
 
     first = cut(may_link(cand), "first")
+    # of the hubs of a document (at most one a list) the likeliest two
+    best = Window.partitionBy("a").orderBy(F.desc("close"), "b")
+    likely = first.withColumn("r", F.row_number().over(best)).where("r <= 2").select("a", "b")
 
     texts = base.join(classes.where("named > 0 and rep = least").select(F.col("rep").alias("id")), "id", "left_semi")
     odd = classes.where("named = 0 or rep <> least").select("rep", "digest")
@@ -267,7 +275,7 @@ def near_duplicates(
         ).select("a", "sa", "b", "sb")
         return cut(full.mapInArrow(_verified(num, den), "a long, b long"), label)
 
-    links = verify(first, "links")
+    links = verify(likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     roots = components(links)
 
     # 4. lists whose members are not yet in one component
@@ -288,7 +296,11 @@ def near_duplicates(
         .repartition("v", "band", "p", "q").sortWithinPartitions("v", "band", "p", "q")
         .mapInArrow(_searched(k, num, den, least_shared), "a long, b long").distinct()
     )
-    more = cut(searched.join(first, ["a", "b"], "left_anti"), "second")
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    apart = first.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+    tried = links.select("a", "b")
+    more = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(searched).distinct()
+    more = cut(more.join(tried, ["a", "b"], "left_anti"), "second")
     if not more.isEmpty():
         links = cut(links.unionByName(verify(more, "links")), "links")
         roots = components(links)
