@@ -41,7 +41,7 @@ from . import textops as T
 from .common import components, cut, lookup
 
 #: Rows of one inverted list that are held together in one task.
-BLOCK = 512
+BLOCK = 3072
 #: A larger sketch, of the upper 32 bits, sifts the pairs of a list search: of
 #: the FINE smallest values of the union at least FINE_LEAST must be shared (a
 #: pair at 0.75 fails that with a chance of 2e-7).
@@ -218,19 +218,26 @@ def _searched(k: int, num: int, den: int, least: int):
         wanted[value[in_some[who]]] = True
         often = (np.bincount(value)[value] > 1) & wanted[value]
         _, value = np.unique(value[often], return_inverse=True)
-        seen = np.zeros((len(rows), int(value.max(initial=-1)) + 1), np.float32)
-        seen[who[often], value] = 1
-        common = seen[some] @ seen.T
-        small, large = np.minimum.outer(n[some], n), np.maximum.outer(n[some], n)
-        # sets within k: the overlap is exact; else at least ``least`` shared
-        need = np.where(large <= k, num * (small + large) / (num + den), np.minimum(least, small * num / den))
-        ok = (common >= need - 1e-6) & (root[some][:, None] != root) & (den * small >= num * large)
-        ok &= np.minimum.outer(own[some], own) == band  # the next band's own list has its pairs
-        if side.any():  # two blocks: across them only
-            ok &= side[some][:, None] != side
-        ok &= ~in_some | (np.asarray(some)[:, None] < np.arange(len(rows)))  # both ends in ``some``: met twice
-        left, right = np.nonzero(ok)
-        left = some[left]
+        rows_of, common = who[often], np.zeros((len(some), len(rows)), np.float32)
+        for lo in range(0, int(value.max(initial=-1)) + 1, 4096):  # some values at a time
+            at = (value >= lo) & (value < lo + 4096)
+            seen = np.zeros((len(rows), 4096), np.float32)
+            seen[rows_of[at], value[at] - lo] = 1
+            common += seen[some] @ seen.T
+        found = []
+        for lo in range(0, len(some), 256):  # some members at a time
+            part = some[lo : lo + 256]
+            small, large = np.minimum.outer(n[part], n), np.maximum.outer(n[part], n)
+            # sets within k: the overlap is exact; else at least ``least`` shared
+            need = np.where(large <= k, num * (small + large) / (num + den), np.minimum(least, small * num / den))
+            ok = (common[lo : lo + 256] >= need - 1e-6) & (root[part][:, None] != root) & (den * small >= num * large)
+            ok &= np.minimum.outer(own[part], own) == band  # the next band's own list has its pairs
+            if side.any():  # two blocks: across them only
+                ok &= side[part][:, None] != side
+            ok &= ~in_some | (part[:, None] < np.arange(len(rows)))  # both ends in ``some``: met twice
+            i, j = np.nonzero(ok)
+            found.append((part[i], j))
+        left, right = (np.concatenate([f[i] for f in found]) for i in (0, 1))
         fine = None
         for lo in range(0, len(left), 4096):
             i, j = left[lo : lo + 4096], right[lo : lo + 4096]
