@@ -18,10 +18,11 @@ PY_WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Number grammars accepted by Python int() / float() (without '_' digit
-# separators, nan and inf, see README "Known divergences").
-INT_PATTERN = r"\A[+-]?[0-9]+\z"
-FLOAT_PATTERN = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+# Number grammars accepted by Python int() / float(), with single '_' between
+# digits (without nan and inf, see README "Known divergences").
+_DIGITS = r"[0-9]+(_[0-9]+)*"
+INT_PATTERN = rf"\A[+-]?{_DIGITS}\z"
+FLOAT_PATTERN = rf"\A[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?\z"
 # strptime('%Y-%m-%d'): four-digit year, one- or two-digit month, and a
 # one- or two-digit day or a space and one digit (``%d`` accepts " 5").
 DATE_PATTERN = r"\A[0-9]{4}-[0-9]{1,2}-([0-9]{1,2}| [1-9])\z"
@@ -51,13 +52,19 @@ def strip_or_empty(c: Column | str) -> Column:
 def to_int(c: Column | str) -> Column:
     """``int(s.strip())`` or NULL."""
     s = strip(c)
-    return F.when(s.rlike(INT_PATTERN), s.try_cast("int"))
+    return F.when(s.rlike(INT_PATTERN), _plain(s).try_cast("int"))
 
 
 def to_double(c: Column | str) -> Column:
-    """``float(s.strip())`` or NULL."""
+    """``float(s.strip())`` or NULL; NULL too where it is too large for a double."""
     s = strip(c)
-    return F.when(s.rlike(FLOAT_PATTERN), s.try_cast("double"))
+    x = _plain(s).try_cast("double")
+    return F.when(s.rlike(FLOAT_PATTERN) & (F.abs(x) < float("inf")), x)
+
+
+def _plain(s: Column) -> Column:
+    """Digit separators removed."""
+    return F.replace(s, F.lit("_"), F.lit(""))
 
 
 def to_date(c: Column | str, first_token: bool = True) -> Column:

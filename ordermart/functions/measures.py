@@ -1,9 +1,11 @@
 """Order measures and report arithmetic, shared by batch and order entry.
 
-Money is computed in decimals: price and cost are taken to DECIMAL(18,6)
+Money is computed in decimals: price and cost are taken to DECIMAL(27,12)
 before multiplying, and the result is rounded half-up to two places.  The
-same expressions serve the batch fact and registered orders, so one order
-always gets one value.
+margin is computed in double and then rounded.  A value that does not fit its
+type is NULL, never an error; ``out_of_range`` says which orders that holds
+for, so they can be named and set aside.  The same expressions serve the batch
+fact and registered orders, so one order always gets one value.
 """
 
 from __future__ import annotations
@@ -13,28 +15,53 @@ from pyspark.sql import functions as F
 
 from ..schemas import MARGIN, MONEY, MONEY_SUM, RATIO
 
-_WORK = "decimal(18,6)"
+_WORK = "decimal(27,12)"
+_COUNT = "decimal(10,0)"
 
 
 def _dec(c: Column) -> Column:
-    return c.cast(_WORK)
+    return c.try_cast(_WORK)
+
+
+def _money(quantity: Column, each: Column) -> Column:
+    """DECIMAL(10,0) x DECIMAL(27,12) = DECIMAL(38,12), NULL beyond it."""
+    return F.round(F.try_multiply(quantity.try_cast(_COUNT), each), 2).try_cast(MONEY)
+
+
+def _gap(unit_price: Column, cost: Column) -> Column:
+    return F.try_subtract(_dec(unit_price), _dec(F.coalesce(cost, F.lit(0.0)))).try_cast(_WORK)
 
 
 def revenue(quantity: Column, unit_price: Column) -> Column:
     """round(quantity * unit_price, 2)."""
-    return F.round(quantity * _dec(unit_price), 2).cast(MONEY)
+    return _money(quantity, _dec(unit_price))
 
 
 def gross_profit(quantity: Column, unit_price: Column, cost: Column) -> Column:
     """round(quantity * (unit_price - coalesce(cost, 0)), 2)."""
-    return F.round(quantity * (_dec(unit_price) - F.coalesce(_dec(cost), F.lit(0).cast(_WORK))), 2).cast(MONEY)
+    return _money(quantity, _gap(unit_price, cost))
 
 
 def margin_pct(unit_price: Column, cost: Column) -> Column:
     """(unit_price - coalesce(cost, 0)) / unit_price * 100 when price > 0, else NULL."""
-    p = _dec(unit_price)
-    gap = (p - F.coalesce(_dec(cost), F.lit(0).cast(_WORK))) * F.lit(100)
-    return F.when(unit_price > 0, F.round(gap / p, 2)).cast(MARGIN)
+    p = unit_price.cast("double")
+    share = F.try_divide(p - F.coalesce(cost.cast("double"), F.lit(0.0)), p) * F.lit(100.0)
+    # 15 significant digits, as a database prints a double that becomes numeric
+    exact = F.format_string("%.12f", share).try_cast("decimal(38,12)")
+    return F.when(p > 0, F.round(exact, 2)).try_cast(MARGIN)
+
+
+def out_of_range(quantity: Column, unit_price: Column, cost: Column) -> Column:
+    """True where a price that is there has no revenue, profit or margin that
+    fits, or lies below the working scale."""
+    lost = (
+        _dec(unit_price).isNull()
+        | (_dec(unit_price) == 0)
+        | revenue(quantity, unit_price).isNull()
+        | gross_profit(quantity, unit_price, cost).isNull()
+        | margin_pct(unit_price, cost).isNull()
+    )
+    return F.when((unit_price > 0) & quantity.isNotNull(), lost).otherwise(F.lit(False))
 
 
 def date_parts(d: Column) -> dict[str, Column]:

@@ -5,8 +5,8 @@ one key to one task; if a single key (a blank order id, say) holds a third of
 the data, that task holds a third of the data.  Here:
 
 1. a count per key (hash aggregation, partial on the map side) finds the hot
-   keys -- more than ``split_rows`` rows -- capped at ``max_hot_keys``, the
-   biggest first; the cap bounds the broadcast list;
+   keys: more than ``split_rows`` rows and more than 1 / ``HOT_KEYS`` of all
+   rows, so fewer than ``HOT_KEYS`` of them by arithmetic; all are split;
 2. the first arrival of each hot key is an aggregation over the hot keys'
    rows only (partial on the map side, one row per hot key out, broadcast);
 3. rows of hot keys get a deterministic salt in ``[0, buckets)`` (the same on
@@ -15,7 +15,9 @@ the data, that task holds a third of the data.  Here:
 
 A key that is not split keeps all its rows in one group, so ``row_number``
 is exact for it; a split key is judged against its broadcast first arrival.
-Keys beyond the cap are simply not split -- still exact.
+Rows of one key that tie in the whole arrival order are told apart by their
+content (a hash of all columns).  Rows that are equal throughout share a salt,
+so ``row_number`` makes one of them first at every size.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SPLIT_ROWS = 2_000_000
-DEFAULT_MAX_HOT_KEYS = 10_000
+#: Keys with more than 1 / HOT_KEYS of all rows are fewer than HOT_KEYS.
+HOT_KEYS = 10_000
 
 
 def _conf_int(df: DataFrame, name: str, default: int) -> int:
@@ -42,25 +45,24 @@ def flag_repeats(
     arrival: Sequence[str],
     flag_col: str = "_is_duplicate",
     split_rows: int | None = None,
-    max_hot_keys: int | None = None,
 ) -> DataFrame:
     """Add ``flag_col`` = 1 for every row that is not the first of its key.
 
-    ``arrival`` lists the columns that order rows within a key; together with
-    the key they must be unique.  A NULL key is a key like any other.  The
-    result has the input columns plus the flag.
+    ``arrival`` lists the columns that order rows within a key.  A NULL key is
+    a key like any other.  The result has the input columns plus the flag.
     """
     split_rows = split_rows or _conf_int(df, "ordermart.skew.splitRows", DEFAULT_SPLIT_ROWS)
-    max_hot_keys = max_hot_keys or _conf_int(df, "ordermart.skew.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
+    columns = df.columns
+    # ties in arrival order: by content, so the first row is one row everywhere
+    df = df.withColumn("_content", F.xxhash64(*[F.col(c) for c in columns]))
+    arrival = [*arrival, "_content"]
     order: Column = F.struct(*[F.col(c) for c in arrival])
 
-    # 1. hot keys: bounded by construction (limit), biggest first
+    # 1. hot keys: fewer than HOT_KEYS by arithmetic
+    counts = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.agg(F.count(F.lit(1)).alias("_all"))
     hot_keys = (
-        df.groupBy(F.col(key).alias("_k"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > split_rows)
-        .orderBy(F.desc("_n"), F.asc("_k"))
-        .limit(max_hot_keys)
+        counts.where((F.col("_n") > split_rows) & (F.col("_n") * HOT_KEYS > total.scalar()))
         .select("_k", F.ceil(F.col("_n") / F.lit(split_rows)).cast("int").alias("_buckets"))
     )
     # 2. first arrival of each hot key, from the hot keys' rows only
@@ -70,15 +72,15 @@ def flag_repeats(
     hot = hot_keys.join(hot_first, hot_keys["_k"].eqNullSafe(hot_first["_k"])).select(
         hot_keys["_k"], "_buckets", "_first"
     )
-    # 3. salt hot rows, one shuffle on (key, salt), rank inside each group
+    # 3. salt hot rows, one shuffle on (key, salt), rank inside each group.
+    # The salt follows the arrival key, so rows equal throughout share a group
+    # and row_number picks one of them, split or not.
     rows = df.join(F.broadcast(hot), df[key].eqNullSafe(hot["_k"]), "left").drop("_k")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in arrival]), F.col("_buckets"))
     rows = rows.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
     rank = F.row_number().over(Window.partitionBy(key, "_salt").orderBy(*[F.col(c) for c in arrival]))
-    repeat = F.when(F.col("_first").isNotNull(), ~order.eqNullSafe(F.col("_first"))).otherwise(rank > 1)
-    return rows.withColumn(flag_col, F.when(repeat, 1).otherwise(0).cast("smallint")).drop(
-        "_buckets", "_first", "_salt"
-    )
+    first = F.col("_first").isNull() | order.eqNullSafe(F.col("_first"))
+    return rows.withColumn(flag_col, F.when(first & (rank == 1), 0).otherwise(1).cast("smallint")).select(*columns, flag_col)
 
 
 def first_rows(df: DataFrame, key: str, arrival: Sequence[str], **kw) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..functions.measures import order_measures, revenue
+from ..functions.measures import order_measures, out_of_range, revenue
 from ..schemas import ORDER_FIELDS, VALID_CHANNELS
 from ..session import shared_dir
 from .dedup import flag_repeats
@@ -30,6 +30,7 @@ REQUIRED = "required"
 NOT_INTEGER = "not_integer"
 NOT_NUMERIC = "not_numeric"
 NOT_POSITIVE = "not_positive"
+OUT_OF_RANGE = "out_of_range"
 BAD_DATE = "bad_date_format"
 BAD_CHANNEL = "invalid_channel"
 UNKNOWN_CUSTOMER = "unknown_customer"
@@ -71,10 +72,10 @@ def _err(field: str, code: Column | str) -> Column:
 def field_errors(form: DataFrame) -> Column:
     """array<struct<field, code>> of field-rule violations (empty = valid)."""
     blank = {c: F.col(c) == "" for c in ORDER_FIELDS}
-    qty = F.col("quantity").try_cast("int")
-    qty_ok = F.col("quantity").rlike(clean.INT_PATTERN) & qty.isNotNull()
-    price = F.col("unit_price").try_cast("double")
-    price_ok = F.col("unit_price").rlike(clean.FLOAT_PATTERN) & price.isNotNull()
+    qty = clean.to_int("quantity")
+    qty_ok = qty.isNotNull()
+    price = clean.to_double("unit_price")
+    price_ok = price.isNotNull()
     date_ok = clean.to_date(F.col("order_date"), first_token=False).isNotNull()
 
     checks = [F.when(blank[c], _err(c, REQUIRED)) for c in ("order_id", "customer_id", "sku")]
@@ -123,13 +124,16 @@ def assess(
     form = normalize_form(candidates, seq)
     if "created_at" not in form.columns:
         form = form.withColumn("created_at", F.current_timestamp())
+    else:  # the default of a submission that does not say
+        now = F.current_timestamp().cast(form.schema["created_at"].dataType)
+        form = form.withColumn("created_at", F.coalesce("created_at", now))
     v = form.select(
         F.col(seq).alias("seq"),
         "order_id",
         "customer_id",
         "sku",
-        F.col("quantity").try_cast("int").alias("quantity"),
-        F.col("unit_price").try_cast("double").alias("unit_price"),
+        clean.to_int("quantity").alias("quantity"),
+        clean.to_double("unit_price").alias("unit_price"),
         clean.to_date(F.col("order_date"), first_token=False).alias("order_date"),
         "channel",
         "created_at",
@@ -142,6 +146,7 @@ def assess(
         F.when(F.size("_field_errors") > 0, F.col("_field_errors"))
         .when(F.col("_c_hit").isNull(), _reject("customer_id", UNKNOWN_CUSTOMER))
         .when(F.col("_p_hit").isNull(), _reject("sku", UNKNOWN_SKU))
+        .when(out_of_range(F.col("quantity"), F.col("unit_price"), F.col("_cost")), _reject("unit_price", OUT_OF_RANGE))
         .otherwise(_no_rejection())
     )
     return j.select(

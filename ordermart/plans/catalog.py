@@ -8,15 +8,13 @@ its loaded database.
 
 from __future__ import annotations
 
-import hashlib
-import os
 import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import kpis, orders, quality
-from ..session import local_path_missing, session_key
+from ..session import session_key
 from ..sources import testdata
 from .pipeline import RawInputs, Warehouse, as_new_orders, existing_order_ids, live_fact_orders, run_batch
 
@@ -35,71 +33,13 @@ def testdata_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
     )
 
 
-_INPUTS = ("customer", "nation", "part", "lineitem", "orders")
-
-
-def _fingerprint(sf_dir: str) -> str | None:
-    """Content key of a build: input files (size, mtime) and this package's
-    source.  None when the inputs are not local files."""
-    h = hashlib.sha256(sf_dir.rstrip("/").encode())
-    try:
-        for t in _INPUTS:
-            st = os.stat(f"{sf_dir.rstrip('/')}/{t}.parquet")
-            h.update(f"{t}:{st.st_size}:{st.st_mtime_ns}".encode())
-    except OSError:
-        return None
-    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for root, dirs, files in os.walk(pkg):
-        dirs.sort()
-        for f in sorted(files):
-            if f.endswith(".py"):
-                with open(os.path.join(root, f), "rb") as fh:
-                    h.update(fh.read())
-    return h.hexdigest()[:24]
-
-
-def _pointer(spark: SparkSession, sf_dir: str) -> str | None:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    fp = _fingerprint(sf_dir)
-    return f"{root.rstrip('/')}/ordermart/builds/{fp}" if root and fp else None
-
-
-def _reuse(spark: SparkSession, pointer: str | None) -> Warehouse | None:
-    """A completed earlier build with the same content key, if readable."""
-    if pointer is None or local_path_missing(pointer):
-        return None
-    try:
-        row = spark.read.text(pointer).first()
-        if row is None:
-            return None
-        wh = Warehouse(spark, row[0])
-        for t in ("stg_orders", "stg_customers", "stg_products", "dim_customers", "dim_products", "fact_orders"):
-            wh.table(t).schema  # noqa: B018 - fails if the table is gone
-        return wh
-    except Exception:
-        return None
-
-
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Silver and gold tables for ``sf_dir``.
-
-    Built on first use.  A completed build is recorded under
-    ``spark.checkpoint.dir`` by a content key (inputs and code), so another
-    session over the same inputs and code reads it instead of rebuilding.
-    """
+    """Silver and gold tables for ``sf_dir``, built on first use in a session."""
     key = (session_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         wh = _BUILDS.get(key)
         if wh is None:
-            pointer = _pointer(spark, sf_dir)
-            wh = _reuse(spark, pointer)
-            if wh is None:
-                wh = run_batch(spark, testdata_inputs(spark, sf_dir))
-                if pointer is not None:
-                    spark.createDataFrame([(wh.root,)], "root string").coalesce(1).write.mode(
-                        "overwrite"
-                    ).text(pointer)
-            _BUILDS[key] = wh
+            wh = _BUILDS[key] = run_batch(spark, testdata_inputs(spark, sf_dir))
         return wh
 
 

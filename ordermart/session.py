@@ -8,7 +8,6 @@ which is the case in unit tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,16 +67,6 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-def local_path_missing(path: str) -> bool:
-    """True only when ``path`` is a local path that does not exist (remote
-    paths are never declared missing here; readers handle them)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-    elif "://" in path:
-        return False
-    return not os.path.exists(path)
-
-
 def session_key(spark: SparkSession) -> str:
     """Identity of the running application (for per-session caches)."""
     app_id = spark.conf.get("spark.app.id", None)
@@ -88,8 +77,8 @@ def shared_dir(spark: SparkSession) -> str:
     """Root folder shared by driver and executors.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir).  Only when neither is set -- local tests -- a fresh folder under the
-    system temp dir is created and registered as the checkpoint dir.
+    dir).  Only when neither is set and the master is local (tests), a fresh
+    folder under the system temp dir is made; any other master raises.
     """
     try:
         sc = spark.sparkContext
@@ -102,6 +91,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ordermart-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

@@ -1,0 +1,70 @@
+"""Dirty prices, ties and settings that must not stop a run."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordermart import session
+from ordermart.functions import clean
+from ordermart.functions.measures import gross_profit, margin_pct, out_of_range, revenue
+from ordermart.operators.dedup import flag_repeats
+from ordermart.operators.orders import register_orders
+
+
+def test_any_price_has_a_value_or_a_mark(spark):
+    rows = [(1, 1e-7, 0.0), (1_000_000, 4e-7, 0.0), (1, 5e12, 1.0), (10, 1e25, 0.0), (1, 1e-13, 0.0), (2, 10.0, None), (1, 1e-7, 1e9), (None, 3.0, 1.0)]
+    df = spark.createDataFrame(rows, "q int, p double, c double")
+    q, p, c = F.col("q"), F.col("p"), F.col("c")
+    got = df.select(revenue(q, p).cast("string"), gross_profit(q, p, c).cast("string"), margin_pct(p, c).cast("string"), out_of_range(q, p, c)).collect()
+    assert [r[0] for r in got] == ["0.00", "0.40", "5000000000000.00", None, "0.00", "20.00", "0.00", None]
+    assert got[0][2] == "100.00" and got[5][1:3] == ("20.00", "100.00")
+    assert [r[3] for r in got] == [False, False, False, True, True, False, True, False]
+
+
+def test_a_bad_price_refuses_its_submission_only(spark):
+    cols = "order_id string, customer_id string, sku string, quantity string, unit_price string, order_date string, channel string, created_at timestamp_ntz, seq long"
+    price = {"A": "0.0000001", "B": "1e25", "C": "12.5", "D": "1e999", "E": "1_000"}
+    rows = [(k, "C1", "S1", "1", p, "2024-01-05", "retail", None, i) for i, (k, p) in enumerate(price.items())]
+    c = spark.createDataFrame([("C1",)], "customer_id string")
+    s = spark.createDataFrame([("S1", 1.0)], "sku string, cost double")
+    acc, rej = register_orders(spark.createDataFrame(rows, cols), c, s, spark.createDataFrame([], "order_id string"))
+    assert {(r["order_id"], r["field"], r["code"]) for r in rej.collect()} == {
+        ("A", "unit_price", "out_of_range"), ("B", "unit_price", "out_of_range"), ("D", "unit_price", "not_numeric")
+    }
+    got = {r["order_id"]: r for r in acc.collect()}
+    assert got.keys() == {"C", "E"} and str(got["E"]["revenue"]) == "1000.00"
+    assert all(r["created_at"] is not None for r in got.values())
+
+
+def test_numbers(spark):
+    df = spark.createDataFrame([("1_000",), ("1__0",), ("_1",), ("1e999",), ("-1e999",), ("1_0.5_0",), ("1e1_0",)], "s string")
+    got = [tuple(r) for r in df.select(clean.to_int("s"), clean.to_double("s")).collect()]
+    assert got == [(1000, 1000.0), (None, None), (None, None), (None, None), (None, None), (None, 10.5), (None, 1e10)]
+
+
+@pytest.mark.parametrize("split_rows", [1, 2, 1000])
+def test_ties_have_one_winner_at_every_size(spark, split_rows):
+    rows = [("N1", None, "a"), ("N1", None, "b"), ("N1", None, "b"), ("N2", 1, "x"), ("N2", 1, "x"), ("N2", 2, "y")]
+    df = spark.createDataFrame(rows, "k string, seq long, t string")
+    got = flag_repeats(df, "k", ["seq"], "dup", split_rows=split_rows)
+    assert got.columns == ["k", "seq", "t", "dup"]
+    firsts = sorted((r["k"], r["t"]) for r in got.where("dup = 0").collect())
+    whole = sorted((r["k"], r["t"]) for r in flag_repeats(df, "k", ["seq"], "dup", split_rows=10**6).where("dup = 0").collect())
+    assert firsts == whole and [k for k, _ in firsts] == ["N1", "N2"]
+
+
+def test_no_local_folder_off_a_local_master():
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Session())

@@ -50,10 +50,10 @@ def test_fact_build_pushes_flag_filters_into_the_scan(spark):
                           for c in ("_is_duplicate", "_negative_qty", "_null_price", "_invalid_date"))
 
 
-def test_dedup_has_no_unpartitioned_window_and_a_capped_broadcast(spark):
+def test_dedup_has_no_unpartitioned_window_and_a_bounded_broadcast(spark):
     raw = catalog.testdata_inputs(spark, SF_SMALL)
     p = _plan(stage_orders(raw.orders, raw.app_orders, raw.seq))
-    assert "TakeOrderedAndProject(limit=10000" in p
+    assert "TakeOrdered" not in p and "Limit" not in p and "Subquery" in p
     for line in p.splitlines():
         if "Window [" in line:
             assert "windowspecdefinition(order_id" in line  # partitioned by key (and salt)

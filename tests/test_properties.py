@@ -67,8 +67,8 @@ keys = st.sampled_from(["a", "b", "c", "", None, "hot"])
 
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(keys, st.integers(0, 1), st.integers(0, 5)), min_size=20, max_size=150),
-       st.integers(1, 8), st.integers(1, 3))
-def test_dedup_equals_row_number(spark, rows, split_rows, max_hot_keys):
+       st.integers(1, 8))
+def test_dedup_equals_row_number(spark, rows, split_rows):
     from pyspark.sql import Window
 
     from ordermart.operators.dedup import flag_repeats
@@ -76,7 +76,7 @@ def test_dedup_equals_row_number(spark, rows, split_rows, max_hot_keys):
     data = [(k, r, s, i) for i, (k, r, s) in enumerate(rows)]
     df = spark.createDataFrame(data, "k string, r int, s int, i int")
     got = {x["i"]: x["d"] for x in
-           flag_repeats(df, "k", ["r", "s", "i"], "d", split_rows=split_rows, max_hot_keys=max_hot_keys).collect()}
+           flag_repeats(df, "k", ["r", "s", "i"], "d", split_rows=split_rows).collect()}
     w = Window.partitionBy("k").orderBy("r", "s", "i")
     want = {x["i"]: int(x["n"] > 1) for x in df.withColumn("n", F.row_number().over(w)).collect()}
     assert got == want
