@@ -31,8 +31,8 @@ def py_float(s):
         v = float(t)
     except ValueError:
         return None
-    if math.isnan(v) or (math.isinf(v) and any(w in t.lower() for w in ("inf", "nan"))):
-        return None  # the nan / inf words are not numbers here
+    if math.isnan(v) or math.isinf(v):
+        return None  # the nan / inf words, and what a double cannot hold, are not numbers here
     return v
 
 
