@@ -41,17 +41,19 @@ def csv_inputs(
     customers_path: str,
     products_path: str,
     app_orders: str | None = None,
+    multi_line: bool = False,
 ) -> RawInputs:
     """Bronze from header CSV files (every field text) plus the optional
     accepted-orders table (catalog name or parquet path; missing = empty).
 
-    Lines with a wrong number of fields are kept aside in ``rejects``.
+    Lines that lack a needed field are kept aside in ``rejects``.
+    ``multi_line`` reads quoted line breaks (each file is then one split).
     """
     rejects = {}
     frames = {}
     for name, path, schema in (("orders", orders_path, ORDERS_RAW), ("customers", customers_path, CUSTOMERS_RAW),
                                ("products", products_path, PRODUCTS_RAW)):
-        good, bad = split_rejects(read_csv_raw(spark, path, schema))
+        good, bad = split_rejects(read_csv_raw(spark, path, schema, multi_line))
         frames[name], rejects[name] = good, bad
     return RawInputs(
         orders=frames["orders"],
@@ -214,10 +216,14 @@ def existing_order_ids(wh: Warehouse, *others: DataFrame) -> DataFrame:
 
 def live_fact_orders(wh: Warehouse, *registered: DataFrame) -> DataFrame:
     """The fact as reports see it between batch runs: the written fact plus
-    orders accepted since (their rows already carry the fact measures)."""
+    orders accepted since (their rows already carry the fact measures).  An
+    accepted order that a later batch has loaded is in the fact already and is
+    not counted again.  Only the fact ids that the log names are joined."""
     fact = wh.fact_orders
     for r in registered:
-        fact = fact.unionByName(r.select(*FACT_COLS))
+        log = r.select(*FACT_COLS)
+        loaded = fact.select("order_id").join(log.select("order_id"), "order_id", "left_semi").distinct()
+        fact = fact.unionByName(log.join(loaded, "order_id", "left_anti"))
     return fact
 
 

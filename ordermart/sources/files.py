@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 # Arrival order of CSV rows: file, split start, position inside the split.
 CSV_SEQ = ("_file", "_block", "_row")
+# Fields that a short line may lack: the load takes a missing one as NULL.
+MAY_LACK = ("quantity", "unit_price", "order_date", "created_at")
 
 
 class MissingColumnError(ValueError):
@@ -36,9 +38,11 @@ def read_csv_raw(
     Columns are matched by the header's names, as a dict reader does: extra
     columns are ignored, a missing required column raises
     ``MissingColumnError``.  Every field is text.  Quoting follows RFC 4180
-    (``""`` inside quotes is one quote).  Lines with too few or too many
-    fields keep their text in ``_corrupt_record``; ``split_rejects``
-    separates them so none is lost.  Rows come back with ``_file``, ``_block``
+    (``""`` inside quotes is one quote).  Fields beyond the header are
+    ignored and missing ones at the end are NULL; only a line that lacks a
+    field outside ``MAY_LACK`` keeps its text in ``_corrupt_record``, and
+    ``split_rejects`` separates those so none is lost.  All files must have
+    the same header: one with other names or another order raises.  Rows come back with ``_file``, ``_block``
     and ``_row``, which order them exactly as they appear in the files (the
     meaning of "first").  ``multi_line`` allows quoted line breaks but makes
     each file one split.
@@ -58,12 +62,18 @@ def read_csv_raw(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("enforceSchema", False)  # each file's header is compared
+        .option("columnPruning", False)  # else a read of few columns does not see short lines
         .schema(full)
         .csv(path)
     )
+    needed = max((names.index(f.name) + 1 for f in schema.fields if f.name not in MAY_LACK), default=0)
+    # fields of a line: commas outside quotes, and one
+    bare = F.regexp_replace(F.col(CORRUPT), '"[^"]*"', "")
+    held = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     return df.select(
         *[F.col(f"`{f.name}`") for f in schema.fields],
-        F.col(CORRUPT),
+        F.when(held < needed, F.col(CORRUPT)).alias(CORRUPT),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
@@ -72,12 +82,12 @@ def read_csv_raw(
 
 def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(well-formed rows, malformed rows: line text, fields as parsed, position)."""
-    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     fields = [c for c in raw.columns if c != CORRUPT and c not in CSV_SEQ]
     # Spark refuses a file scan that reads only the corrupt-record column (as
-    # bad.count() would after pruning), so the filter also reads one field;
-    # the added condition is always true.
+    # a count would after pruning), so the filters also read one field; the
+    # added condition is always true.
     reads_a_field = F.length(F.coalesce(F.col(f"`{fields[0]}`"), F.lit(""))) >= 0
+    good = raw.where(F.col(CORRUPT).isNull() & reads_a_field).drop(CORRUPT)
     bad = raw.where(F.col(CORRUPT).isNotNull() & reads_a_field).select(
         F.col(CORRUPT).alias("line"), *[F.col(c) for c in fields], *[F.col(c) for c in CSV_SEQ]
     )

@@ -36,30 +36,30 @@ def py_float(s):
     return v
 
 
-def py_date(s, first_token):
-    if not s or not s.strip():
-        return None
-    part = s.strip().split(" ")[0] if first_token else s.strip()
-    try:
-        return dt.datetime.strptime(part, "%Y-%m-%d").date()
-    except ValueError:
-        return None
-
-
 @settings(max_examples=6, deadline=None)
 @given(texts)
 def test_parsers_equal_python(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
-    got = df.orderBy("i").select(
-        clean.strip("s"), clean.to_int("s"), clean.to_double("s"),
-        clean.to_date("s"), clean.to_date(F.col("s"), first_token=False),
-    ).collect()
+    got = df.orderBy("i").select(clean.strip("s"), clean.to_int("s"), clean.to_double("s")).collect()
     for v, r in zip(values, got):
         assert r[0] == v.strip(), v
         assert r[1] == py_int(v), v
         assert r[2] == py_float(v), v
-        assert r[3] == py_date(v, True), v
-        assert r[4] == py_date(v, False), v
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.dates(), min_size=10, max_size=40))
+def test_built_dates_are_read_and_damaged_ones_are_not(spark, days):
+    rows = []  # (text, date by its first token, date of the whole text)
+    for d in days:
+        year, iso = f"{d.year:04d}", f"{d.year:04d}-{d.month:02d}-{d.day:02d}"
+        rows += [(t, d, d) for t in (iso, f"{year}-{d.month}-{d.day}", f" \t{iso}\n")]
+        rows += [(f"{iso} 10:30:00", d, None)]
+        rows += [(t, None, None) for t in (iso.replace("-", "/"), f"{iso}x", f"x{iso}", f"{year}-13-{d.day}", f"{year}-0-{d.day}",
+                                           f"{year}-{d.month}-32", f"{year}-{d.month}-0", f"0000-{d.month}-{d.day}", f"-{iso}", year)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, s string, a date, b date")
+    same = clean.to_date("s").eqNullSafe(F.col("a")) & clean.to_date(F.col("s"), first_token=False).eqNullSafe(F.col("b"))
+    assert [r["s"] for r in df.where(~same).collect()] == []
 
 
 keys = st.sampled_from(["a", "b", "c", "", None, "hot"])
