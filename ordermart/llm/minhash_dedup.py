@@ -10,8 +10,10 @@ Every document has the set of its distinct word shingles (64-bit hashes).
    another one in each list (rows linear in the lists); the sketch of the union
    estimates the similarity, and the likeliest hubs of a document are verified
    on full sets.  That joins most of a group.
-4. Pairs with the other hubs, and lists whose members are still in different
-   components, are searched whole, in blocks, between components only.
+4. Lists whose members are still in different components are searched whole,
+   in blocks, between components only.  Sets up to 512 shingles are compared
+   exactly there and give only the links that join components, so the rows are
+   linear in the lists; pairs with a larger set go on to be verified.
 Links join the components; the smallest id names each.
 
 A pair at exactly the similarity is lost in step 2 when fewer than
@@ -46,6 +48,11 @@ BLOCK = 3072
 #: the FINE smallest values of the union at least FINE_LEAST must be shared (a
 #: pair at 0.75 fails that with a chance of 2e-7).
 FINE, FINE_LEAST = 128, 70
+#: A list search holds the WHOLE smallest values of each member.  Sets up to
+#: that size are compared exactly there, so only links that join components are
+#: given; of larger ones WHOLE_LEAST of the union's must be shared (a pair at
+#: 0.75 fails that with a chance of 1e-7).
+WHOLE, WHOLE_LEAST = 512, 332
 _TOP = np.iinfo(np.uint64).max
 
 
@@ -109,7 +116,7 @@ def _may_link(a: np.ndarray, na: int, b: np.ndarray, nb: int, k: int, num: int,
 
 
 def _estimated(k: int, num: int, den: int, least: int):
-    """(a, na, sa, b, nb, sb) rows -> those that may link, and how close."""
+    """(a, na, sa, b, nb, sb, m) rows -> those that may link, and how close."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,7 +127,7 @@ def _estimated(k: int, num: int, den: int, least: int):
             for x, p, y, q in zip(sa, na, sb, nb, strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 close.append(union_estimate(x, y, k)[0] * k if _may_link(x, p, y, q, k, num, den, least) else None)
-            yield pa.RecordBatch.from_arrays([c["a"], c["b"], pa.array(close, pa.int64())], ["a", "b", "close"]).filter(pa.array([x is not None for x in close], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([c["a"], c["b"], c["m"], pa.array(close, pa.int64())], ["a", "b", "m", "close"]).filter(pa.array([x is not None for x in close], pa.bool_()))
 
     return run
 
@@ -143,18 +150,22 @@ def _verified(num: int, den: int):
     return run
 
 
-def shared_of_union(a: np.ndarray, b: np.ndarray, k: int | np.ndarray, flag_a: np.ndarray | None = None, flag_b: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _shared(both: np.ndarray, k: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted rows that hold two sets each: where a value is met again, and
+    how many of the k smallest distinct values are."""
+    twice = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] < np.iinfo(both.dtype).max)
+    rank = np.arange(1, both.shape[1]) - np.cumsum(twice, axis=1)  # of the union, from 0
+    return twice, (twice & (rank < np.reshape(k, (-1, 1)))).sum(axis=1)
+
+
+def shared_of_union(a: np.ndarray, b: np.ndarray, k: int, flag_a: np.ndarray, flag_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows of sorted values padded with the largest one: how many of the k
     smallest values of the union are in both rows, and the least value that is
     flagged in both (or the padding)."""
     both = np.concatenate([a, b], axis=1)
     order = np.argsort(both, axis=1, kind="stable")
     both = np.take_along_axis(both, order, axis=1)
-    twice = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] < np.iinfo(a.dtype).max)
-    rank = np.arange(1, both.shape[1]) - np.cumsum(twice, axis=1)  # of the union, from 0
-    shared = (twice & (rank < np.reshape(k, (-1, 1)))).sum(axis=1)
-    if flag_a is None:
-        return shared, shared
+    twice, shared = _shared(both, k)
     flags = np.take_along_axis(np.concatenate([flag_a, flag_b], axis=1), order, axis=1)
     both_flagged = twice & flags[:, 1:] & flags[:, :-1]
     return shared, np.where(both_flagged, both[:, 1:], np.iinfo(a.dtype).max).min(axis=1)
@@ -171,7 +182,7 @@ def _padded(rows: list[bytes], width: int, dtype: type) -> np.ndarray:
 def _fine_ok(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, num: int, den: int) -> np.ndarray:
     """Whether pairs (rows) may link by their larger sketches."""
     exact = (na <= FINE) & (nb <= FINE)  # the sketches are the sets
-    shared, _ = shared_of_union(a, b, np.where(exact, 2 * FINE, FINE))
+    _, shared = _shared(np.sort(np.concatenate([a, b], axis=1), axis=1), np.where(exact, 2 * FINE, FINE))
     union = na + nb - shared
     seen = np.minimum(FINE, np.maximum(na, nb))
     return np.where(exact, den * shared >= num * union, shared * FINE >= FINE_LEAST * seen)
@@ -193,22 +204,24 @@ def _sifted(num: int, den: int):
 
 
 def _searched(k: int, num: int, den: int, least: int):
-    """Rows (v, band, p, q, side, rep, n, root, own, sketch, prefix, fine),
-    ordered by the first four: the pairs of a block (p = q) or between two
-    blocks whose members are in different components and may link.  A pair is
-    given by the list of the least value that both have in their prefixes."""
-
-    def pairs(v: int, band: int, rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (v, band, p, q, side, rep, n, root, own, prefix, values), ordered
+    by the first four: pairs of a block (p = q) or between two blocks whose
+    members are in different components.  A pair is looked at in the list of
+    the least value that both have in their prefixes, the likeliest first.  A
+    pair of whole sets that is a link is given as sure, and what it joins is
+    not looked at again; a pair with a larger set is given if it may link."""
+
+    def pairs(v: int, band: int, rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         side, ids, n, root, own = (np.array([r[i] for r in rows], np.int64) for i in range(5))
         names, many = np.unique(root, return_counts=True)
         if len(names) == 1 or side.all():
             return
         # every pair between components has an end outside the largest of them
         some = np.flatnonzero(root != names[many.argmax()])
-        sk = _padded([r[5] for r in rows], k, np.uint64)
+        sk = _padded([r[6][: 8 * k] for r in rows], k, np.uint64)
         flags = np.zeros(sk.shape, bool)
         for i, r in enumerate(rows):
-            flags[i] = np.isin(sk[i], np.frombuffer(r[6], np.uint64))
+            flags[i] = np.isin(sk[i], np.frombuffer(r[5], np.uint64))
         held = sk < _TOP
         _, value = np.unique(sk[held], return_inverse=True)
         who = np.nonzero(held)[0]
@@ -238,28 +251,49 @@ def _searched(k: int, num: int, den: int, least: int):
             i, j = np.nonzero(ok)
             found.append((part[i], j))
         left, right = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-        fine = None
+        near = []
         for lo in range(0, len(left), 4096):
             i, j = left[lo : lo + 4096], right[lo : lo + 4096]
             shared, first = shared_of_union(sk[i], sk[j], k, flags[i], flags[j])
             union = np.minimum(k, np.maximum(n[i], n[j]))
             go = (first == np.uint64(v & T._M)) & ((np.maximum(n[i], n[j]) <= k) | (shared * k >= least * union))
+            near.append((i[go], j[go], shared[go]))
+        if not near:
+            return
+        left, right, shared = (np.concatenate([x[c] for x in near]) for c in range(3))
+        order = np.argsort(-shared, kind="stable")
+        left, right = left[order], right[order]
+        label = np.unique(root, return_inverse=True)[1]  # components as far as joined here
+        lo, step = 0, 256
+        while lo < len(left):
+            i, j = left[lo : lo + step], right[lo : lo + step]
+            lo, step = lo + step, min(4096, 2 * step)
+            go = label[i] != label[j]
             i, j = i[go], j[go]
             if not len(i):
                 continue
-            if fine is None:
-                fine = _padded([r[7] or b"" for r in rows], FINE, np.uint32)
-                unknown = np.array([r[7] is None for r in rows])
-            go = unknown[i] | unknown[j] | _fine_ok(fine[i], n[i], fine[j], n[j], num, den)
-            yield np.minimum(ids[i], ids[j])[go], np.maximum(ids[i], ids[j])[go]
+            most = np.maximum(n[i], n[j])
+            whole = most <= WHOLE
+            width = min(WHOLE, int(most.max()))
+            own_values = lambda x: _padded([rows[r][6][: 8 * width] for r in x], width, np.uint64)  # noqa: B023, E731
+            _, shared = _shared(np.sort(np.concatenate([own_values(i), own_values(j)], axis=1), axis=1), np.where(whole, 2 * WHOLE, WHOLE))
+            link = whole & (den * shared >= num * (n[i] + n[j] - shared))
+            sure = np.zeros(len(i), bool)
+            for x in np.flatnonzero(link):
+                one, two = label[i[x]], label[j[x]]
+                if one != two:
+                    label[label == max(one, two)] = min(one, two)
+                    sure[x] = True
+            give = sure | (~whole & (shared * WHOLE >= WHOLE_LEAST * np.minimum(WHOLE, most)))
+            yield np.minimum(ids[i], ids[j])[give], np.maximum(ids[i], ids[j])[give], sure[give]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
 
         def found() -> Iterator[pa.RecordBatch]:
             if len(rows) > 1:
-                for a, b in pairs(key[0], key[1], rows):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                for a, b, sure in pairs(key[0], key[1], rows):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(sure)], ["a", "b", "sure"])
 
         for batch in batches:
             cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
@@ -324,14 +358,17 @@ def near_duplicates(
     # 3. one hub for each list and size band
     fine = sig.where("n > 0 and id is not null").select(F.col("id").alias("rep"), "digest", "fine").join(classes.select("rep", "digest"), ["rep", "digest"])
     fine = fine.groupBy("rep").agg(F.first("fine").alias("fine"))
-    near = postings.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    hubs = postings.groupBy("v", "band").agg(F.min_by("rep", F.xxhash64("rep", "v")).alias("hub"))
-    cand = near.join(hubs, ["v", "band"]).where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    near = postings.withColumn("own", F.col("band")).withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    hubs = near.groupBy("v", "band").agg(
+        F.min_by("rep", F.when(F.col("own") == F.col("band"), F.xxhash64("rep", "v"))).alias("hub"), F.count("*").alias("m"),
+        F.max(F.col("own") == F.col("band")).alias("any"),
+    ).where("any and m > 1").drop("any")
+    cand = near.join(hubs, ["v", "band"]).where("rep <> hub").groupBy(F.col("rep").alias("a"), F.col("hub").alias("b")).agg(F.min("m").alias("m"))
     left = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
 
     def may_link(pairs: DataFrame) -> DataFrame:
-        return pairs.join(left, "a").join(right, "b").mapInArrow(_estimated(k, num, den, least_shared), "a long, b long, close long")
+        return pairs.join(left, "a").join(right, "b").mapInArrow(_estimated(k, num, den, least_shared), "a long, b long, m long, close long")
 
     first = cut(may_link(cand), "first")
     # of the hubs of a document (at most one a list) the likeliest two
@@ -377,24 +414,29 @@ def near_duplicates(
         "v", "band", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"),
         (F.col("mine") > F.col("other")).cast("long").alias("side"), "rep", "n", "root", "own",
     )
-    # of each member its sketch, which of its values have lists, and the larger sketch
+    # of each member which of its values have lists, and its smallest values
     prefix = postings.groupBy("rep").agg(F.collect_list("v").alias("vs"))
     prefix = prefix.mapInArrow(_packed_values, "rep long, prefix binary")
-    members = reps.select("rep", "sketch").join(prefix, "rep").join(fine, "rep", "left")
-    searched = (
+    searching = wide.join(open_lists, ["v", "band"], "left_semi").select("rep").distinct()
+    smallest = sets_of(searching).select("rep", F.substring("set", 1, 8 * WHOLE).alias("set"))
+    members = cut(smallest.join(prefix, "rep").select("rep", "prefix", "set"), "members")
+    searched = cut(
         blocked.join(members, "rep")
-        .select("v", "band", "p", "q", "side", "rep", "n", "root", "own", "sketch", "prefix", "fine")
+        .select("v", "band", "p", "q", "side", "rep", "n", "root", "own", "prefix", "set")
         .repartition("v", "band", "p", "q").sortWithinPartitions("v", "band", "p", "q")
-        .mapInArrow(_searched(k, num, den, least_shared), "a long, b long")
+        .mapInArrow(_searched(k, num, den, least_shared), "a long, b long, sure boolean"),
+        "searched",
     )
+    # hub pairs of longer lists were met there
     of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    apart = first.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+    apart = first.where("m <= 2").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
     apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     side = lambda c: reps.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}")).join(fine.select(F.col("rep").alias(c), F.col("fine").alias(f"f{c}")), c, "left")
     apart = apart.join(side("a"), "a").join(side("b"), "b").mapInArrow(_sifted(num, den), "a long, b long")
-    more = cut(apart.unionByName(searched).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"), "second")
-    if not more.isEmpty():
-        links = cut(links.unionByName(verify(more, "links")), "links")
+    more = cut(apart.unionByName(searched.where("not sure").select("a", "b")).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"), "second")
+    sure = searched.where("sure").select("a", "b")
+    if not more.isEmpty() or not sure.isEmpty():
+        links = cut(links.unionByName(verify(more, "links")).unionByName(sure), "links")
         roots = components(links)
 
     # back to every row: the smallest id of the component
