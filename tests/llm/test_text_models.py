@@ -63,6 +63,26 @@ def test_swaps_take_weight_off_identity_terms(labelled):
     assert toxicity.counterfactuals("No such group here.", toxicity.IDENTITY_TERMS) == []
 
 
+def test_border_prefers_clean_documents():
+    z = np.array([-3.0, -2.0, -1.0, 1.0, 2.0])
+    assert toxicity.border(z, np.array([False, False, False, True, True])) == 0.0
+    # a toxic row without evidence does not pull the border among the clean ones
+    assert toxicity.border(z, np.array([True, False, False, True, True])) == 0.0
+    assert toxicity.border(z, np.zeros(5, bool)) > 2.0
+    assert toxicity.border(np.full(4, 1.5), np.array([True, False, False, False])) > 1.5
+
+
+def test_chance_features_are_not_learned(labelled):
+    rows, labels = labelled
+    feats = [toxicity._features(toxicity.words_of(t)) for _, t in rows]
+    marks = np.array([b for _, _, b in labels]) > 0
+    model = toxicity.fit(feats, marks, [])
+    told = toxicity._features({"vilewort", "snidewort", "muslims"})
+    assert 2 <= len(model.keys) <= len(told) + 2
+    none = toxicity.fit(feats, np.random.default_rng(0).permutation(marks), [])
+    assert len(none.keys) <= 2
+
+
 def test_without_labels_of_both_kinds(docs, llm):
     none = llm.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.score(docs([(1, "a b"), (None, None)]), none).collect()
