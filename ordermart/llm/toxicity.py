@@ -119,8 +119,10 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, swaps: list[tuple[np.ndarray,
     none = np.zeros(0, np.uint64)
     if not 0 < rate < 1:
         return Model(none, np.zeros(0), 40.0 if rate else -40.0)
-    flat, who = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    flat, who = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     keys, where = np.unique(flat, return_inverse=True)
+    del flat
+    where = where.astype(np.int32)
     n = len(rows)
     a = np.bincount(where, toxic[who], len(keys))
     df = np.bincount(where, minlength=len(keys)).astype(float)
@@ -208,6 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     as_hash = lambda x: np.frombuffer(bytes(x), np.uint64)
     swaps = [(as_hash(a), as_hash(b)) for r in found for a, b in zip(r["gone"], r["came"], strict=True)]
     rows, toxic = [as_hash(r["features"]) for r in found], np.array([r["toxic"] for r in found]) > 0.5
+    del found  # the driver holds the features once
     model = fit(rows, toxic, swaps, penalty)
     # the border: set on a fifth that a second fit has not seen
     part = np.arange(len(rows)) % 5 == 0
