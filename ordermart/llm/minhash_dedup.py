@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -66,8 +66,8 @@ def _signatures(size: int, k: int):
                 sketch.append(s[:k].tobytes())
                 fine.append((s[:FINE] >> np.uint64(32)).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (digest, sketch, fine))],
-                ["id", "n", "digest", "sketch", "fine"],
+                [batch.column(0), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (digest, sketch, fine)), *batch.columns[2:]],
+                ["id", "n", "digest", "sketch", "fine", *batch.schema.names[2:]],
             )
 
     return run
@@ -318,9 +318,25 @@ def near_duplicates(
     block: int = BLOCK,
 ) -> DataFrame:
     """(id_col, n_shingles, component_id, kept) for each row of ``docs``."""
+    out = _grouped(docs.select(*_id_and_text(id_col, text_col)), size, similarity, k, least_shared, block)
+    return out.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
+def _id_and_text(id_col: str, text_col: str) -> tuple[Column, Column]:
+    return F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")
+
+
+def _grouped(rows: DataFrame, size: int, similarity: tuple[int, int], k: int, least_shared: int, block: int) -> DataFrame:
+    """(id, n, root, component_id) for each row (id, text, ...), and its columns
+    beyond these; root is the key of the component, null for an empty set."""
     num, den = similarity
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    sig = cut(base.mapInArrow(_signatures(size, k), "id long, n long, digest binary, sketch binary, fine binary"), "signatures")
+    base = rows.select("id", "text")
+    others = [f for f in rows.schema.fields if f.name not in ("id", "text")]
+    schema = "id long, n long, digest binary, sketch binary, fine binary" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in others)
+    sig = cut(rows.mapInArrow(_signatures(size, k), schema), "signatures")
+    own = [f.name for f in others]
 
     # 1. one representative for each distinct set; r: a dense enough stand-in
     # key, the smallest id, or for sets with null ids only, one below all ids
@@ -442,14 +458,10 @@ def near_duplicates(
     # back to every row: the smallest id of the component
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     group = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = cut(named.join(group, "root").select("digest", "copies", "component_id"), "named")
+    named = cut(named.join(group, "root").select("digest", "copies", "root", "component_id"), "named")
     n_rows = named.agg(F.sum("copies")).first()[0] or 0
-    out = lookup(sig.where("n > 0").select("id", "n", "digest"), named, "digest", "copies", n_rows).select(
-        "id", F.col("n").alias("n_shingles"), "component_id"
-    ).unionByName(sig.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
-    return out.select(
-        F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    out = lookup(sig.where("n > 0").select("id", "n", "digest", *own), named, "digest", "copies", n_rows).select("id", "n", "root", "component_id", *own)
+    return out.unionByName(sig.where("n = 0").select("id", "n", F.lit(None).cast("long").alias("root"), F.col("id").alias("component_id"), *own))
 
 
 def _digests(size: int):
@@ -463,10 +475,37 @@ def _digests(size: int):
     return run
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the near-duplicates: one row of each group stays, with
-    all columns.  Rows whose id is null stay only if no id names their group."""
-    found = cut(near_duplicates(docs, id_col, text_col, **options).where("kept"), "kept")
-    kept = found.select(F.col(id_col).alias("__kept")).distinct()
-    out = docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
-    return out.dropDuplicates([id_col]) if found.count() > kept.count() else out
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 5,
+    similarity: tuple[int, int] = (75, 100),
+    k: int = 32,
+    least_shared: int = 10,
+    block: int = BLOCK,
+) -> DataFrame:
+    """``docs`` without the near-duplicates: exactly one row of each group
+    stays, with all columns, one with the smallest id.  Rows whose id is null
+    stay only if no id names their group.
+
+    A row is found again by its id and text, so texts that share an id, or have
+    none, are judged one by one.  Of wordless rows one stays for each id, and
+    all whose id is null, as nothing links them."""
+    key = F.concat_ws(":", F.md5(F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary"))), F.col(id_col).cast("long").cast("string"))
+    rows = _grouped(docs.select(*_id_and_text(id_col, text_col), key.alias("key")), size, similarity, k, least_shared, block)
+    # rows of one key have one id and one text, so one group
+    each = rows.groupBy("key").agg(F.count("*").alias("__copies"), *[F.first(c).alias(c) for c in ("id", "n", "root", "component_id")])
+    named = lambda by, c: F.concat(F.lit(by), F.col(c).cast("string"))
+    group = F.when(F.col("n") > 0, named("root:", "root")).when(F.col("id").isNotNull(), named("id:", "id")).otherwise(named("key:", "key"))
+    each = cut(each.select("key", "__copies", (F.col("id").isNull() & (F.col("n") == 0)).alias("__all"),
+                           F.col("id").eqNullSafe(F.col("component_id")).alias("may"), group.alias("group")), "keys")
+    best = each.where("may").groupBy("group").agg(F.min("key").alias("key")).select("key", F.lit(True).alias("__stays"))
+    verdict = each.join(best, "key", "left").select(F.col("key").alias("__key"), "__copies", "__all", F.coalesce("__stays", F.lit(False)).alias("__stays"))
+    verdict = cut(verdict, "verdict")
+    n_rows = verdict.agg(F.sum("__copies")).first()[0] or 0
+    out = lookup(docs.withColumn("__key", key), verdict, "__key", "__copies", n_rows).where("__stays")
+    many = "__copies > 1 and not __all"
+    if not verdict.where("__stays").where(many).isEmpty():
+        out = out.where(f"not ({many})").unionByName(out.where(many).dropDuplicates(["__key"]))
+    return out.select(*docs.columns)

@@ -83,6 +83,20 @@ def test_one_of_each_group_stays_with_all_columns(docs):
     assert sorted(r["doc_id"] for r in out.collect()) == [2, 7, 8]
 
 
+def test_null_ids_and_shared_ids_lose_no_text(docs):
+    """One row of each group, whatever the ids: none, shared, or repeated."""
+    text = [" ".join(f"w{g}x{k}" for k in range(60)) for g in range(8)]
+    near = lambda t: t + " tail"
+    rows = [(None, t) for t in text[:4]] + [(None, text[0]), (None, near(text[1]))]  # four groups without an id
+    rows += [(1, text[4]), (None, near(text[4])), (1, text[5]), (2, near(text[5]))]  # id 1 over two texts
+    rows += [(3, text[6]), (3, near(text[6])), (3, text[7]), (3, text[7])]
+    rows += [(None, ""), (None, None), (9, ""), (9, " "), (3, "")]
+    out = [(r["doc_id"], r["text"]) for r in drop_near_duplicates(docs(rows, extra="key root n")).collect()]
+    groups = [(i, next(g for g, x in enumerate(text) if t.startswith(x))) for i, t in out if (t or "").strip()]
+    assert sorted((i or 0, g) for i, g in groups) == [(0, 0), (0, 1), (0, 2), (0, 3), (1, 4), (1, 5), (3, 6), (3, 7)]
+    assert sorted(i or 0 for i, t in out if not (t or "").strip()) == [0, 0, 3, 9]
+
+
 def test_union_estimate():
     a, b = np.arange(0, 40, dtype=np.uint64), np.arange(10, 50, dtype=np.uint64)
     assert union_estimate(a[:32], b[:32], 32) == (22, 32)
