@@ -5,10 +5,13 @@ language by Jensen-Shannon distance (square root of the base-2 divergence):
 - character classes: lower-case and other letters, A-Z, digits, symbols,
   other punctuation, white space, and UTF-8 continuation bytes;
 - the language's common words, all other words as one class.
-A reference is the mean of the histograms of all documents of that language.
-Languages with under 1 / ``LANGS`` of the rows, and null, use the reference of
-the whole table, so the reference table is bounded.  Minimum-length guards
-leave short texts to the base rules.
+A reference is the mean of the histograms of all documents of that language,
+whatever its share of the rows: the common words of languages with over 1 /
+``LANGS`` of the rows are literals of the plan, those of others are joined by
+language.  Distances judge a language with ``LEAST_DOCS`` documents past the
+guards; rarer ones, and null, have nothing to be compared with that would not
+reject clean text, so they are left to the base rules, as short texts are by
+the minimum-length guards.
 
 Base rules: under 20 words, or over 30 of 100 words inside 8-word windows that
 occur twice or more in the text.
@@ -27,8 +30,10 @@ from pyspark.sql.window import Window
 
 from .common import cut
 
-#: Fewer than so many languages have a reference of their own.
+#: Fewer than so many languages are matched without a shuffle.
 LANGS = 200
+#: Documents past the guards that a reference needs to reject others by.
+LEAST_DOCS = 10
 #: Common words of each reference.
 COMMON = 40
 #: Guards: words and characters below which a distance says nothing.
@@ -104,9 +109,9 @@ def _distance(divergence: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), divergence))
 
 
-def measure(docs: DataFrame, id_col: str, text_col: str, lang_col: str, common: list[str]) -> DataFrame:
+def measure(docs: DataFrame, id_col: str, text_col: str, lang_col: str, is_common, listed: bool = False) -> DataFrame:
     """Counts and histograms of every row (no shuffle)."""
-    df = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    df = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).cast("string").alias("lang"), *(["listed"] if listed else []))
     df = df.withColumn("w", words_of(F.col("text")))
     lines = F.filter(F.split("text", "\n"), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
     df = df.select(
@@ -118,7 +123,7 @@ def measure(docs: DataFrame, id_col: str, text_col: str, lang_col: str, common:
         (F.octet_length("text") - F.length("text")).cast("long").alias("more_bytes"),
         *[F.regexp_count("text", F.lit(r)).cast("long").alias(k) for k, r in _CLASSES.items()],
         F.when(F.instr("text", "\n") == 0, F.lit(0)).otherwise(_let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a)))).cast("long").alias("n_dup_lines"),
-        F.filter("w", lambda x: x.isin(common)).alias("common") if common else F.array().cast("array<string>").alias("common"),
+        F.filter("w", is_common).alias("common"),
         F.transform("w", lambda x: F.xxhash64(x)).alias("h"),
     )
     df = df.withColumn("h4", _pairs(_pairs(F.col("h"), 1), 2)).drop("h")
@@ -133,17 +138,23 @@ def measure(docs: DataFrame, id_col: str, text_col: str, lang_col: str, common:
     return df.withColumn("hist", _histogram(F.col("common"))).drop("common", "h4", "h8", "again4", "again8")
 
 
-def common_words(docs: DataFrame, text_col: str, lang_col: str, common: int) -> tuple[list[str], list[str]]:
-    """(languages with a reference, their common words): over all documents."""
+def common_words(docs: DataFrame, text_col: str, lang_col: str, common: int) -> tuple[list[str], list[str], DataFrame | None]:
+    """(languages with over 1 / LANGS of the rows, their common words, common
+    words of each other language if there are any): over all documents."""
     base = docs.select(F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n_rows = base.count()
-    langs = [r[0] for r in base.groupBy("lang").count().where((F.col("lang").isNotNull()) & (F.col("count") * LANGS > n_rows)).collect()]
-    words = base.select(F.when(F.col("lang").isin(langs), F.col("lang")).alias("lang"), F.explode(F.array_distinct(F.split("text", " "))).alias("w"))
+    large = base.groupBy("lang").count().where((F.col("lang").isNull()) | (F.col("count") * LANGS > n_rows)).collect()
+    langs = [r[0] for r in large if r[0] is not None]
+    words = base.where("lang is not null").select("lang", F.explode(F.array_distinct(F.split("text", " "))).alias("w"))
     # a word of under 17 bytes: longer ones are no function words of any language
     df = words.where((F.octet_length("w") > 0) & (F.octet_length("w") < 17)).groupBy("lang", "w").agg(F.count("*").alias("df"))
     ranked = df.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("df"), "w")))
-    top = ranked.where(F.col("r") <= common).select("w").distinct()
-    return langs, sorted(r[0] for r in top.collect())
+    top = ranked.where(F.col("r") <= common).select("lang", "w")
+    rare = None
+    if sum(r[1] for r in large) < n_rows:
+        top = cut(top, "common")
+        rare = cut(top.where(~F.col("lang").isin(langs)).groupBy("lang").agg(F.collect_list("w").alias("listed")), "rare")
+    return langs, sorted({r[0] for r in top.where(F.col("lang").isin(langs)).select("w").collect()}), rare
 
 
 def divergence(
@@ -158,28 +169,39 @@ def divergence(
     min_chars: int = MIN_CHARS,
 ) -> DataFrame:
     """A row for each row of ``docs``: the base counts, char_js, word_js
-    (null below the guards), base_failed, kept, and ``text_hash`` to find the
-    row again."""
-    langs, listed = common_words(docs, text_col, lang_col, common)
-    rows = cut(measure(docs, id_col, text_col, lang_col, listed), "quality")
-    rows = rows.withColumn("ref", F.when(F.col("lang").isin(langs), F.col("lang")).otherwise(F.lit("")) if langs else F.lit(""))
+    (null below the guards and for a null language), base_failed, kept, and
+    ``text_hash`` to find the row again."""
+    langs, listed, rare = common_words(docs, text_col, lang_col, common)
+    lang = F.col(lang_col).cast("string")
+    in_list = (lambda x: x.isin(listed)) if listed else (lambda x: F.lit(False))
+    rows = measure(docs.where(lang.isNull() | lang.isin(langs)), id_col, text_col, lang_col, in_list)
+    if rare is not None:
+        others = docs.where(~lang.isin(langs)).select(F.col(id_col), F.col(text_col), lang.alias(lang_col))
+        # each of these languages has at most 1 / LANGS of the rows
+        others = others.join(rare.withColumnRenamed("lang", lang_col), lang_col, "left")
+        rows = rows.unionByName(measure(others, id_col, text_col, lang_col, lambda x: F.array_contains("listed", x), listed=True))
+    rows = cut(rows, "quality")
     size = (F.col("chars") + F.col("more_bytes")).cast("double")
     counts = {k: F.col(k) for k in _CLASSES} | {"space": F.col("chars") - F.col("word_chars"), "more": F.col("more_bytes")}
     share = {k: F.coalesce(F.try_divide(c, size), F.lit(0.0)) for k, c in counts.items()}
     share["lower"] = F.greatest(F.lit(0.0), 1 - sum(share.values(), F.lit(0.0)))
     long_enough = (F.col("n_words") >= min_words) & (F.col("chars") >= min_chars)
 
-    # references: means over the documents past the guards, by language and over all
-    refs = rows.where(long_enough).select(F.explode(F.array_distinct(F.array("ref", F.lit("")))).alias("ref"), *[v.alias(f"c_{k}") for k, v in share.items()], "hist", "n_words")
-    chars = refs.groupBy("ref").agg(*[F.avg(f"c_{k}").alias(f"q_{k}") for k in share], F.count("*").alias("n"))
-    each = refs.select("ref", "n_words", F.explode("hist").alias("e")).groupBy("ref", F.col("e.w").alias("w")).agg(F.sum(F.col("e.c") / F.col("n_words")).alias("s"))
-    top = each.withColumn("r", F.row_number().over(Window.partitionBy("ref").orderBy(F.desc("s"), "w"))).where(F.col("r") <= common)
-    by_word = top.groupBy("ref").agg(F.map_from_entries(F.collect_list(F.struct("w", "s"))).alias("m"))
-    # at most LANGS + 1 rows of ``common`` words: broadcast
-    refs = chars.join(by_word, "ref", "left").withColumn("m", F.transform_values(F.coalesce("m", F.create_map().cast("map<string,double>")), lambda _, s: s / F.col("n"))).drop("n")
+    # references: means over the documents past the guards, by language
+    refs = rows.where(long_enough & F.col("lang").isNotNull()).select("lang", *[v.alias(f"c_{k}") for k, v in share.items()], "hist", "n_words")
+    chars = refs.groupBy("lang").agg(*[F.avg(f"c_{k}").alias(f"q_{k}") for k in share], F.count("*").alias("n_docs"))
+    each = refs.select("lang", "n_words", F.explode("hist").alias("e")).groupBy("lang", F.col("e.w").alias("w")).agg(F.sum(F.col("e.c") / F.col("n_words")).alias("s"))
+    top = each.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("s"), "w"))).where(F.col("r") <= common)
+    by_word = top.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("w", "s"))).alias("m"))
+    refs = chars.join(by_word, "lang", "left").withColumn("m", F.transform_values(F.coalesce("m", F.create_map().cast("map<string,double>")), lambda _, s: s / F.col("n_docs")))
     refs = cut(refs, "references")
 
-    rows = rows.join(F.broadcast(refs), "ref", "left")
+    # fewer than LANGS of ``common`` words: broadcast; null joins nothing
+    large = F.col("lang").isin(langs)
+    judged = rows.where(F.col("lang").isNull() | large).join(F.broadcast(refs.where(large)), "lang", "left")
+    if rare is not None:
+        judged = judged.unionByName(rows.where(~large).join(refs.where(~large), "lang", "left"))
+    rows = judged
     char = sum((_js_term(share[k], F.col(f"q_{k}")) for k in share), F.lit(0.0))
     rows = rows.withColumn("known", F.filter(F.transform("hist", lambda e: F.struct((e["c"] / F.col("n_words")).alias("p"), F.element_at(F.col("m"), e["w"]).alias("q"))), lambda e: e["q"].isNotNull()))
     total = lambda a, f: F.aggregate(a, F.lit(0.0), lambda t, e: t + f(e))
@@ -188,9 +210,10 @@ def divergence(
     word = total("known", lambda e: _js_term(e["p"], e["q"])) + (F.col("q_all") - F.col("q_known")) / 2 + _js_term(
         F.greatest(F.lit(0.0), one - F.col("p_known")), F.greatest(F.lit(0.0), one - F.col("q_all"))
     )
-    rows = rows.withColumn("char_js", F.when(long_enough, _distance(char))).withColumn("word_js", F.when(long_enough, _distance(word)))
+    rows = rows.withColumn("char_js", F.when(long_enough & F.col("m").isNotNull(), _distance(char))).withColumn("word_js", F.when(long_enough & F.col("m").isNotNull(), _distance(word)))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     away = (F.coalesce("char_js", F.lit(0.0)) > max_char) | (F.coalesce("word_js", F.lit(0.0)) > max_word + WORD_ROOM / F.sqrt(F.greatest(F.col("n_words"), F.lit(1))))
+    away = away & (F.coalesce("n_docs", F.lit(0)) >= LEAST_DOCS)
     return rows.select(
         F.col("id").alias(id_col), "n_words", "word_chars", F.col("symbol").alias("n_symbols"), "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~away).alias("kept"), "char_js", "word_js", "text_hash",

@@ -48,6 +48,23 @@ def test_counts_and_verdicts(docs):
     assert all(kept[i] for i, t in rows[:60] if len(t.split()) >= 20)
 
 
+def tongue(rng, name, n):
+    """Clean text of a made-up language with function words of its own."""
+    common = [f"{name}{v}" for v in ("a", "e", "i", "on", "ur", "ost", "el")]
+    return " ".join(rng.choice(common) if rng.random() < 0.5 else f"{rng.choice('bcdfg')}{rng.choice('aeiou')}n{rng.randrange(50)}e" for _ in range(n))
+
+
+def test_clean_text_of_rare_and_unknown_languages_is_kept(docs):
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 300), "en") for i in range(2600)]
+    rows += [(3000 + i, tongue(rng, "q", 300), "qq") for i in range(12)]  # under 1 / 200, with a reference
+    rows += [(4000, tongue(rng, "z", 300), "zz"), (4001, tongue(rng, "v", 300), None)]  # without
+    rows += [(5000, " ".join(f"{k}##" for k in range(300)), "qq"), (5001, "word two " * 60, "zz"), (5002, "word two " * 60, None)]
+    got = divergence(docs(rows)).collect()
+    assert sorted(r["doc_id"] for r in got if not r["kept"]) == [5000, 5001, 5002]
+    assert all((r["word_js"] is None) == (r["doc_id"] in (4001, 5002)) for r in got)
+
+
 def test_distance_by_hand(docs):
     """Two texts of equal length: the reference is the mean of both."""
     a, b = "ab " * 200, "AB " * 200
