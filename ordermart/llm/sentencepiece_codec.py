@@ -1,8 +1,16 @@
-"""SentencePiece encoding and decoding by a streaming Viterbi search.
+"""SentencePiece encoding and decoding by the method of the model file.
 
 Pieces and scores come from a SentencePiece model file.  A text is normalised
-as that model says (dummy prefix, spaces to U+2581) and its best segmentation,
-the one of highest total score, is found from left to right.  Only a window of
+as that model says (dummy prefix, spaces to U+2581).
+
+The scores of a BPE model are merge ranks, no log probabilities: its ids are
+those of its merges, the best-ranked pair of neighbours first and of equal ones
+the leftmost (``MergeCodec``).  Merges never cross two characters that no piece
+holds side by side, so the window is the run of characters between two such
+places, within a word.
+
+For a unigram model the best segmentation, the one of highest total score, is
+found from left to right by a streaming Viterbi search (``Codec``).  Only a window of
 the longest piece's length is live: whenever the backpointers of all live
 positions pass one boundary, the pieces before it are final and are given out
 at once, so memory does not grow with the text.  A character no piece covers
@@ -19,6 +27,8 @@ as they are; decoding gives the normalised text back, byte for byte.
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -142,10 +152,13 @@ class Codec:
         self.search = StreamingViterbi(self.model)
         self.known: dict[str, list[int]] = {}
 
+    def _segment(self, word: str) -> list[int]:
+        return [*self.search.feed(word), *self.search.close()]
+
     def _word(self, word: str) -> list[int]:
         ids = self.known.get(word)
         if ids is None:
-            ids = [*self.search.feed(word), *self.search.close()]
+            ids = self._segment(word)
             if len(word) <= _CACHE_CHARS:
                 if len(self.known) >= CACHE_WORDS:
                     self.known.clear()
@@ -178,16 +191,112 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         """The text whose normal form the ids are."""
         of = self.model.of_id
-        text = b"".join([of[i] for i in ids]).decode("utf-8", "surrogatepass").replace(SPACE, " ")
+        text = b"".join(map(of.__getitem__, ids)).decode("utf-8", "surrogatepass").replace(SPACE, " ")
         return text[1:] if text[:1] == " " else text
 
 
+class MergeCodec(Codec):
+    """Ids by the merges of a BPE model."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.bridged = {p[i : i + 2] for p in self.model.scores for i in range(len(p) - 1)}
+
+    def _segment(self, word: str) -> list[int]:
+        if len(word) <= _CACHE_CHARS:
+            return self._short(word)
+        cuts = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.bridged), len(word)]
+        return [i for a, b in itertools.pairwise(cuts) for i in self._merged(word[a:b])]
+
+    def _short(self, run: str) -> list[int]:
+        """As ``_merged``: the best pair is looked for among all."""
+        get, none = self.model.scores.get, (-np.inf, -1)
+        parts = list(run)
+        pairs = [get(a + b, none)[0] for a, b in itertools.pairwise(parts)]
+        while pairs:
+            top = max(pairs)
+            if top == none[0]:
+                break
+            i = pairs.index(top)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + parts[i], none)[0]
+            if i < len(pairs):
+                pairs[i] = get(parts[i] + parts[i + 1], none)[0]
+        return [k for p in parts for k in self.model.ids_of(p)]
+
+    def _merged(self, run: str) -> list[int]:
+        scores, parts, n = self.model.scores, list(run), len(run)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        pairs: list[tuple[float, int, int, int]] = []
+
+        def offer(i: int) -> None:
+            if i >= 0 and after[i] < n:
+                piece = parts[i] + parts[after[i]]
+                got = scores.get(piece)
+                if got is not None:
+                    heapq.heappush(pairs, (-got[0], i, after[i], len(piece)))
+
+        for i in range(n - 1):
+            offer(i)
+        while pairs:
+            _, i, j, size = heapq.heappop(pairs)
+            if not parts[i] or not parts[j] or len(parts[i]) + len(parts[j]) != size:
+                continue  # one of the two was merged meanwhile
+            parts[i], parts[j] = parts[i] + parts[j], ""
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            offer(before[i])
+            offer(i)
+        return [k for p in parts if p for k in self.model.ids_of(p)]
+
+    def encode(self, text: str | None) -> Iterator[list[int]]:
+        if self.model.by_word:
+            yield from super().encode(text)
+        else:
+            yield self._segment(normalise(text or ""))
+
+
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of each field of a protobuf message."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(data):
+        tag = varint()
+        kind = tag & 7
+        if kind == 0:
+            yield tag >> 3, varint()
+        else:
+            size = varint() if kind == 2 else {1: 8, 5: 4}[kind]
+            yield tag >> 3, data[at : at + size]
+            at += size
+
+
+def is_bpe(path: str) -> bool:
+    """Whether trainer_spec.model_type (field 2, its field 3) is BPE."""
+    with open(path, "rb") as f:
+        return any(v == 2 for k, spec in _fields(f.read()) if k == 2 for n, v in _fields(spec) if n == 3)
+
+
 _CODECS: dict[str, Codec] = {}
 
 
 def codec(path: str) -> Codec:
     if path not in _CODECS:
-        _CODECS[path] = Codec(path)
+        _CODECS[path] = (MergeCodec if is_bpe(path) else Codec)(path)
     return _CODECS[path]
 
 
@@ -227,7 +336,7 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
             rows = []
             for text in batch.column(1).to_pylist():
                 text = text or ""
-                ids = [i for word in own.encode(text) for i in word]
+                ids = [*itertools.chain.from_iterable(own.encode(text))]
                 rows.append((len(ids), len(text), zlib.crc32(np.array(ids, "<u4").tobytes()), own.decode(ids) == text))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(

@@ -237,6 +237,21 @@ def test_no_worse_than_the_library():
         assert value(ids) >= value(library.encode(t))
 
 
+def test_ids_are_those_of_the_library(docs):
+    """The model is a BPE model: its ids, not a search over its merge ranks."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    rng = random.Random(10)
+    texts = ["the house", "The quick  brown fox\n\tjumps", "straßen und häuser", "漢字😀 né", "   ", " lead", "x" * 700, "thetioning" * 90, "aaaab" * 50, "trail "]
+    texts += ["".join(chr(rng.randrange(32, 500)) for _ in range(900)), " ".join("".join(rng.choices("etaoinshr", k=rng.randrange(1, 40))) for _ in range(300))]
+    own = sentencepiece_codec.codec(PIECE_BPE)
+    for t in texts:
+        assert [i for word in own.encode(t) for i in word] == library.encode(t), t
+    got = {r["doc_id"]: list(r["ids"]) for r in sentencepiece_codec.encode(docs(list(enumerate(texts))), PIECE_BPE).collect()}
+    assert got == {i: library.encode(t) for i, t in enumerate(texts)}
+
+
 def test_codec_frames(docs):
     rows = [(1, "one two"), (2, None), (None, "trois ñ"), (1, "one two")]
     ids = sentencepiece_codec.encode(docs(rows, extra="ids"), PIECE_BPE)
