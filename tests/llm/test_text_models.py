@@ -186,6 +186,20 @@ def test_junk_is_less_likely(docs, llm):
     assert all(r["kept"] for r in nothing)
 
 
+def test_thresholds_count_all_trusted_documents(docs, llm):
+    """A language has its own threshold by its trusted documents, however few of
+    them are in the sample that the model is fitted on."""
+    rng = random.Random(12)
+    text = lambda words: " ".join(rng.choice(words) for _ in range(40))
+    rows = [(i, text(["the", "cat", "sat", "mat", "on", "is", "red"]), "en") for i in range(500)]
+    rows += [(600 + i, text([f"{a}{b}q{c}" for a in "xyz" for b in "uvw" for c in "jk"]), "qq") for i in range(70)]
+    labels = llm.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    got = kneser_ney.perplexity(docs(rows + [(900, rows[0][1], None)]), labels, trusted_rows=100).collect()
+    assert len(got) == len(rows) + 1
+    limit = {r["lang"]: r["threshold"] for r in got}
+    assert limit["en"] < limit["qq"] and limit["qq"] != limit[None] != limit["en"]
+
+
 # --- SentencePiece ------------------------------------------------------------------
 
 def test_streaming_viterbi_equals_the_whole_search():
