@@ -77,7 +77,7 @@ def test_hot_key_is_spread_over_tasks(spark):
 
 def test_split_path_equals_default_on_test_tables(spark):
     """Real staging with every repeated id split equals the default run."""
-    from conftest import SF_SMALL
+    from parity import SF_SMALL
 
     from ordermart.operators.staging import stage_orders
     from ordermart.plans import catalog

@@ -5,8 +5,7 @@ import importlib
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
-from parity import TABLES, key, norm
+from parity import SF_SMALL, TABLES, key, norm
 
 entry = importlib.import_module("__spark_entry__")
 #: The corpus operators are tested in their own folder.

@@ -3,7 +3,7 @@ broadcasts and no unpartitioned window over order rows."""
 import contextlib
 import io
 
-from conftest import SF_SMALL
+from parity import SF_SMALL
 
 from ordermart.operators import kpis, star
 from ordermart.operators.staging import stage_orders

@@ -1,5 +1,5 @@
 """Written tables are queryable through spark.sql via temp views."""
-from conftest import SF_SMALL
+from parity import SF_SMALL
 
 from ordermart.plans import catalog
 from ordermart.session import scale_settings
