@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import kneser_ney, lattice_lm, minhash_dedup, packing, quality_rules, sentencepiece_codec, sharding, syncmers, toxicity, warc
+from . import conversation_queries, kneser_ney, lattice_lm, minhash_dedup, packing, quality_rules, sentencepiece_codec, sharding, syncmers, toxicity, warc
 from .common import ship, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -48,6 +48,9 @@ def queries() -> dict[str, Query]:
         "op8_minhash_dedup": _over("documents", minhash_dedup.near_duplicates),
         "op9_sharding": _over("documents", sharding.assign),
         "op10_quality_rules": _over("documents", lambda d: quality_rules.divergence(d).select(*_QUALITY)),
+        "op11_conversation_trie": _over("conversations", conversation_queries.trie),
+        "op12_conversation_repair": _over("conversations", conversation_queries.repaired),
+        "op13_chat_formatting": _over("conversations", conversation_queries.formatted),
     }
 
 
@@ -81,4 +84,4 @@ FROM sets JOIN reach ON a = doc_id GROUP BY doc_id, s
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op8_minhash_dedup": OP8_SQL}
+    return {"op1_warc": OP1_SQL, "op8_minhash_dedup": OP8_SQL} | conversation_queries.oracle_sql()
