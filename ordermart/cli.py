@@ -33,9 +33,12 @@ REPORTS = {
 }
 
 
-def _show(title: str, df, rows: int = 100) -> None:
+def _show(title: str, df) -> None:
+    """Every row, a partition at a time."""
     print(f"-- {title}")
-    df.show(rows, truncate=False)
+    print(" | ".join(df.columns))
+    for row in df.toLocalIterator():
+        print(" | ".join("" if v is None else str(v) for v in row))
 
 
 def cmd_run(spark: SparkSession, a: argparse.Namespace) -> Warehouse:

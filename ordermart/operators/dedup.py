@@ -28,8 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SPLIT_ROWS = 2_000_000
-#: Keys with more than 1 / HOT_KEYS of all rows are fewer than HOT_KEYS.
-HOT_KEYS = 10_000
+#: Keys with more than 1 / HOT_KEYS of all rows are fewer than HOT_KEYS.  Below
+#: splitRows x HOT_KEYS rows (2 * 10^12 by default) every key above splitRows
+#: is split.
+HOT_KEYS = 1_000_000
 
 
 def _conf_int(df: DataFrame, name: str, default: int) -> int:

@@ -14,6 +14,9 @@ Scale notes
   customer or SKU cannot skew it, and the shuffle carries partial sums
   instead of order rows.  Exact because the dimension key is unique.
 * Grand totals are scalar subqueries (one value, no join).
+* Every function also takes the merged partial sums of ``report_states`` in
+  place of the fact: month states for the cards and the breakdowns over the
+  fact, customer or SKU states for those through a dimension.
 """
 
 from __future__ import annotations
@@ -23,44 +26,59 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import money_sum, pct_of, ratio
 from ..schemas import COUNT, MONEY_SUM
+from .report_states import MEASURES
 
 
-def _orders(unique_ids: bool) -> Column:
+def _is_state(fact: DataFrame) -> bool:
+    return "_n_rev" in fact.columns
+
+
+def _orders(fact: DataFrame, unique_ids: bool) -> Column:
+    if _is_state(fact):
+        return F.coalesce(F.sum("_n"), F.lit(0)).cast(COUNT)
     c = F.count("order_id") if unique_ids else F.countDistinct("order_id")
     return c.cast(COUNT)
 
 
+def _revenue(fact: DataFrame) -> str:
+    return "_rev" if _is_state(fact) else "revenue"
+
+
+def _profit(fact: DataFrame) -> str:
+    return "_gp" if _is_state(fact) else "gross_profit"
+
+
 # ---- KPI cards ---------------------------------------------------------------
 
 
 def total_revenue(fact: DataFrame) -> DataFrame:
-    return fact.agg(money_sum("revenue").alias("total_revenue"))
+    return fact.agg(money_sum(_revenue(fact)).alias("total_revenue"))
 
 
 def total_gross_profit(fact: DataFrame) -> DataFrame:
-    return fact.agg(money_sum("gross_profit").alias("total_gross_profit"))
+    return fact.agg(money_sum(_profit(fact)).alias("total_gross_profit"))
 
 
 def total_orders(fact: DataFrame, unique_ids: bool = True) -> DataFrame:
-    return fact.agg(_orders(unique_ids).alias("total_orders"))
+    return fact.agg(_orders(fact, unique_ids).alias("total_orders"))
 
 
 def avg_ticket(fact: DataFrame, unique_ids: bool = True) -> DataFrame:
-    return fact.agg(ratio(F.sum("revenue"), _orders(unique_ids)).alias("avg_ticket"))
+    return fact.agg(ratio(F.sum(_revenue(fact)), _orders(fact, unique_ids)).alias("avg_ticket"))
 
 
 def overall_margin(fact: DataFrame) -> DataFrame:
-    return fact.agg(pct_of(F.sum("gross_profit"), F.sum("revenue")).alias("overall_margin_pct"))
+    return fact.agg(pct_of(F.sum(_profit(fact)), F.sum(_revenue(fact))).alias("overall_margin_pct"))
 
 
 def kpi_cards(fact: DataFrame, unique_ids: bool = True) -> DataFrame:
     """All five cards from one scan."""
     return fact.agg(
-        money_sum("revenue").alias("total_revenue"),
-        money_sum("gross_profit").alias("total_gross_profit"),
-        _orders(unique_ids).alias("total_orders"),
-        ratio(F.sum("revenue"), _orders(unique_ids)).alias("avg_ticket"),
-        pct_of(F.sum("gross_profit"), F.sum("revenue")).alias("overall_margin_pct"),
+        money_sum(_revenue(fact)).alias("total_revenue"),
+        money_sum(_profit(fact)).alias("total_gross_profit"),
+        _orders(fact, unique_ids).alias("total_orders"),
+        ratio(F.sum(_revenue(fact)), _orders(fact, unique_ids)).alias("avg_ticket"),
+        pct_of(F.sum(_profit(fact)), F.sum(_revenue(fact))).alias("overall_margin_pct"),
     )
 
 
@@ -71,10 +89,10 @@ def sales_by_month(fact: DataFrame, unique_ids: bool = True) -> DataFrame:
     return (
         fact.groupBy("year_month")
         .agg(
-            money_sum("revenue").alias("revenue"),
-            money_sum("gross_profit").alias("gross_profit"),
-            _orders(unique_ids).alias("orders"),
-            pct_of(F.sum("gross_profit"), F.sum("revenue")).alias("margin_pct"),
+            money_sum(_revenue(fact)).alias("revenue"),
+            money_sum(_profit(fact)).alias("gross_profit"),
+            _orders(fact, unique_ids).alias("orders"),
+            pct_of(F.sum(_profit(fact)), F.sum(_revenue(fact))).alias("margin_pct"),
         )
         .orderBy(F.asc_nulls_last("year_month"))
     )
@@ -83,9 +101,9 @@ def sales_by_month(fact: DataFrame, unique_ids: bool = True) -> DataFrame:
 def sales_by_channel(fact: DataFrame, unique_ids: bool = True) -> DataFrame:
     """Share of each channel in the sum of the (rounded) channel revenues."""
     per_channel = fact.groupBy("channel").agg(
-        money_sum("revenue").alias("revenue"),
-        money_sum("gross_profit").alias("gross_profit"),
-        _orders(unique_ids).alias("orders"),
+        money_sum(_revenue(fact)).alias("revenue"),
+        money_sum(_profit(fact)).alias("gross_profit"),
+        _orders(fact, unique_ids).alias("orders"),
     )
     # Grand total as a scalar subquery (no join).  The subquery keeps all
     # three per-channel sums alive so its aggregation is the same as the
@@ -119,7 +137,7 @@ def mom_growth(fact: DataFrame) -> DataFrame:
     The window has no partition key: it runs on the monthly aggregate, whose
     size is bounded by the calendar (one row per month), never on order rows.
     """
-    monthly = fact.groupBy("year_month").agg(F.sum("revenue").alias("_rev"))
+    monthly = fact.groupBy("year_month").agg(F.sum(_revenue(fact)).alias("_rev"))
     prev = F.lag("_rev", 1).over(Window.orderBy("year_month"))
     return (
         monthly.select(
@@ -136,6 +154,8 @@ def mom_growth(fact: DataFrame) -> DataFrame:
 
 def _per_key(fact: DataFrame, key: str) -> DataFrame:
     """Partial sums per join key (one row per key)."""
+    if _is_state(fact):
+        return fact.groupBy(key).agg(*[F.sum(m).alias(m) for m in MEASURES])
     return fact.groupBy(key).agg(
         F.sum("revenue").alias("_rev"),
         F.sum("gross_profit").alias("_gp"),
@@ -236,11 +256,14 @@ def bi_measures(
     the fact rows whose customer and SKU exist: two semi-joins (no dimension
     columns carried) give the same rows.
     """
-    rows = fact.join(dim_customers.select("customer_id"), "customer_id", "left_semi").join(
-        dim_products.select("sku"), "sku", "left_semi"
-    )
+    if _is_state(fact):
+        rows = fact.where("in_view")
+    else:
+        rows = fact.join(dim_customers.select("customer_id"), "customer_id", "left_semi").join(
+            dim_products.select("sku"), "sku", "left_semi"
+        )
     return rows.agg(
-        money_sum("revenue").alias("total_sales"),
-        ratio(F.sum("revenue"), _orders(unique_ids)).alias("average_ticket"),
-        ratio(F.sum("gross_profit"), F.sum("revenue"), 6).alias("margin_ratio"),
+        money_sum(_revenue(fact)).alias("total_sales"),
+        ratio(F.sum(_revenue(fact)), _orders(fact, unique_ids)).alias("average_ticket"),
+        ratio(F.sum(_profit(fact)), F.sum(_revenue(fact)), 6).alias("margin_ratio"),
     )

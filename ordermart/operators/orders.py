@@ -16,6 +16,8 @@ same id can still be accepted (the opposite of the batch "flag first" rule).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,16 +119,17 @@ def _no_rejection() -> Column:
 
 
 def assess(
-    candidates: DataFrame, dim_customers: DataFrame, dim_products: DataFrame, seq: str = "seq"
+    candidates: DataFrame, dim_customers: DataFrame, dim_products: DataFrame, seq: str = "seq", now: Column | None = None
 ) -> DataFrame:
     """Steps 1-3 for every submission: typed fields, product cost and
-    ``_reject`` (array of (field, code); empty = eligible for an id)."""
+    ``_reject`` (array of (field, code); empty = eligible for an id).
+    ``now``: the clock (default: the current time)."""
     form = normalize_form(candidates, seq)
+    clock = F.current_timestamp() if now is None else now
     if "created_at" not in form.columns:
-        form = form.withColumn("created_at", F.current_timestamp())
+        form = form.withColumn("created_at", clock)
     else:  # the default of a submission that does not say
-        now = F.current_timestamp().cast(form.schema["created_at"].dataType)
-        form = form.withColumn("created_at", F.coalesce("created_at", now))
+        form = form.withColumn("created_at", F.coalesce("created_at", clock.cast(form.schema["created_at"].dataType)))
     v = form.select(
         F.col(seq).alias("seq"),
         "order_id",
@@ -185,16 +188,19 @@ def register_orders(
     candidates: DataFrame,
     dim_customers: DataFrame,
     dim_products: DataFrame,
-    existing_ids: DataFrame,
+    existing_ids: DataFrame | Callable[[DataFrame], DataFrame],
     seq: str = "seq",
     checkpoint: bool = False,
+    now: Column | None = None,
     **skew,
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) for a set of submissions.
 
     ``candidates``: the seven text fields, an arrival column ``seq`` and,
     optionally, ``created_at`` (else the current time).  ``existing_ids``:
-    an ``order_id`` column of ids already registered or in the fact.
+    an ``order_id`` column of ids already registered or in the fact, or a
+    function that gives them for the batch's own eligible ids (as
+    ``IdStore.lookup`` does, which reads only their buckets).
     ``accepted`` has the accepted-order columns plus the fact measures;
     ``rejected`` has (seq, order_id, field, code), one row per reason.
 
@@ -202,10 +208,12 @@ def register_orders(
     the checkpoint folder once, so the duplicate check and the two outputs
     do not re-run validation and lookups.
     """
-    a = assess(candidates, dim_customers, dim_products, seq)
+    a = assess(candidates, dim_customers, dim_products, seq, now)
     if checkpoint:
         shared_dir(candidates.sparkSession)  # reliable checkpoints need the shared folder
         a = a.checkpoint()
+    if callable(existing_ids):
+        existing_ids = existing_ids(a.where(F.size("_reject") == 0).select("order_id"))
     d = decide(a, existing_ids, **skew)
     if checkpoint:
         d = d.checkpoint()

@@ -8,12 +8,14 @@ raw) and a re-run with the same input rewrites identical tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import star
+from ..operators import report_states, star
+from ..operators.id_index import IdStore
 from ..operators.staging import stage_customers, stage_orders, stage_products
 from ..schemas import CUSTOMERS_RAW, FACT, FACT_COLS, NEW_ORDERS, ORDERS_RAW, PRODUCTS_RAW
 from ..sources.files import CSV_SEQ, optional_table, read_csv_raw, split_rejects
@@ -41,19 +43,17 @@ def csv_inputs(
     customers_path: str,
     products_path: str,
     app_orders: str | None = None,
-    multi_line: bool = False,
 ) -> RawInputs:
     """Bronze from header CSV files (every field text) plus the optional
     accepted-orders table (catalog name or parquet path; missing = empty).
 
-    Lines that lack a needed field are kept aside in ``rejects``.
-    ``multi_line`` reads quoted line breaks (each file is then one split).
+    Records that lack a needed field are kept aside in ``rejects``.
     """
     rejects = {}
     frames = {}
     for name, path, schema in (("orders", orders_path, ORDERS_RAW), ("customers", customers_path, CUSTOMERS_RAW),
                                ("products", products_path, PRODUCTS_RAW)):
-        good, bad = split_rejects(read_csv_raw(spark, path, schema, multi_line))
+        good, bad = split_rejects(read_csv_raw(spark, path, schema))
         frames[name], rejects[name] = good, bad
     return RawInputs(
         orders=frames["orders"],
@@ -120,18 +120,54 @@ class Warehouse:
     def v_orders_full(self) -> DataFrame:
         return star.orders_full(self.fact_orders, self.dim_customers, self.dim_products)
 
+    @property
+    def ids(self) -> IdStore:
+        """The fact's order ids by hash bucket, laid out on first use."""
+        store = IdStore(self.spark, self.path("order_ids"))
+        store.start(self.fact_orders)
+        return store
+
+    def state(self, name: str) -> DataFrame:
+        """Partial sums of the fact (see ``report_states``), written once."""
+        table = f"state_{name}"
+        if table not in self.extra:
+            if not IdStore(self.spark, self.root).has(table):
+                self.write(table, report_states.partials(self.fact_orders, name, self.dim_customers, self.dim_products))
+        return self.table(table)
+
     def publish(self, database: str | None = None) -> list[str]:
-        """Register the written tables as external catalog tables (the
-        CREATE TABLE AS variant): data stays where the run wrote it."""
-        names = []
+        """Name the written tables in the catalog (the CREATE TABLE AS
+        variant), with the wide view over them; data stays where the run wrote
+        it.  A table that is there already is switched to this run's folder in
+        one step, so readers find the old rows or the new ones, and a run that
+        failed before has changed nothing.  Partitions are found in the folder,
+        not kept in the catalog, so the switch is whole for the fact too."""
+        spark, names, dot = self.spark, [], f"{database}." if database else ""
+        keep = "spark.sql.hive.manageFilesourcePartitions"
+        before = spark.conf.get(keep)
+        for t in (*SILVER, *GOLD):
+            self.table(t)  # every table of the run is there before the first switch
         for t in (*SILVER, *GOLD):
-            name = f"{database}.{t}" if database else t
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.catalog.createTable(name, path=self.path(t), source="parquet")
-            if t == "fact_orders":
-                self.spark.catalog.recoverPartitions(name)
+            name, path = dot + t, self.path(t)
+            if spark.catalog.tableExists(name):
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            else:
+                try:
+                    spark.conf.set(keep, "false")
+                    spark.catalog.createTable(name, path=path, source="parquet", schema=self.table(t).schema) if t != "fact_orders" else spark.sql(
+                        f"CREATE TABLE {name} ({', '.join(f'{f.name} {f.dataType.simpleString()}' for f in FACT.fields)}) USING parquet PARTITIONED BY (year_month) LOCATION '{path}'"
+                    )
+                finally:
+                    spark.conf.set(keep, before)
+            spark.catalog.refreshTable(name)
             names.append(name)
-        return names
+        view = f"{dot}v_orders_full"
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {view} AS SELECT f.order_id, f.order_date, f.year, f.month, f.year_month, f.channel, f.quantity, f.unit_price, f.revenue, f.gross_profit, f.margin_pct, "
+            f"f.customer_id, c.name AS customer_name, c.country, c.segment, f.sku, p.category, p.cost AS product_cost, p.active AS product_active "
+            f"FROM {dot}fact_orders f JOIN {dot}dim_customers c ON f.customer_id = c.customer_id JOIN {dot}dim_products p ON f.sku = p.sku"
+        )
+        return [*names, view]
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Temp views over the written tables plus ``v_orders_full``, so the
@@ -214,6 +250,32 @@ def existing_order_ids(wh: Warehouse, *others: DataFrame) -> DataFrame:
     return ids
 
 
+def id_lookup(wh: Warehouse, *others: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """The same for given ids: of the fact, only their buckets are read."""
+    store = wh.ids
+
+    def ids(wanted: DataFrame) -> DataFrame:
+        out = store.lookup(wanted)
+        for o in others:
+            out = out.unionByName(o.select("order_id"))
+        return out
+
+    return ids
+
+
+def live_state(wh: Warehouse, name: str, *registered: DataFrame) -> DataFrame:
+    """The state ``name`` of the fact and of orders accepted since, for the
+    KPI functions.  The fact is not scanned: its partial sums are merged with
+    the accepted orders', and the ids that a later batch has loaded are looked
+    up in their buckets."""
+    states = [wh.state(name)]
+    for r in registered:
+        log = r.select(*FACT_COLS)
+        new = log.join(wh.ids.lookup(log), "order_id", "left_anti")
+        states.append(report_states.partials(new, name, wh.dim_customers, wh.dim_products))
+    return report_states.merged(name, *states)
+
+
 def live_fact_orders(wh: Warehouse, *registered: DataFrame) -> DataFrame:
     """The fact as reports see it between batch runs: the written fact plus
     orders accepted since (their rows already carry the fact measures).  An

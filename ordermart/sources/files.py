@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import csv_records
+
 CORRUPT = "_corrupt_record"
 # Arrival order of CSV rows: file, split start, position inside the split.
 CSV_SEQ = ("_file", "_block", "_row")
@@ -16,81 +16,48 @@ MAY_LACK = ("quantity", "unit_price", "order_date", "created_at")
 
 
 class MissingColumnError(ValueError):
-    """A required column is absent from a file's header."""
-
-
-def _header(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Column names from the first line of a file -- one line read.  Only
-    splits that start at byte 0 are looked at, so the line is a header even
-    when large files are split."""
-    first = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).limit(1).collect()
-    if not first:
-        return []
-    line = first[0][0].lstrip("\ufeff")
-    return next(csv.reader([line]))
+    """A needed column is absent from a file's header."""
 
 
-def read_csv_raw(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False
-) -> DataFrame:
+def read_csv_raw(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Read header CSV files as text columns plus the arrival sequence.
 
-    Columns are matched by the header's names, as a dict reader does: extra
-    columns are ignored, a missing required column raises
-    ``MissingColumnError``.  Every field is text.  Quoting follows RFC 4180
-    (``""`` inside quotes is one quote).  Fields beyond the header are
-    ignored and missing ones at the end are NULL; only a line that lacks a
-    field outside ``MAY_LACK`` keeps its text in ``_corrupt_record``, and
-    ``split_rejects`` separates those so none is lost.  All files must have
-    the same header: one with other names or another order raises.  Rows come back with ``_file``, ``_block``
-    and ``_row``, which order them exactly as they appear in the files (the
-    meaning of "first").  ``multi_line`` allows quoted line breaks but makes
-    each file one split.
+    The files are read as a dict reader reads them, over any number of splits
+    (see ``csv_records``): quoting as in RFC 4180, line breaks inside quotes
+    belong to the field, blank lines are no records.  Each file has its own
+    header line, in any order of columns: columns are matched by name, extra
+    ones are ignored, and a file whose first line lacks a needed name raises
+    ``MissingColumnError``.  Fields beyond the header are ignored and missing
+    ones at the end are NULL; only a record that lacks a field outside
+    ``MAY_LACK``, or is too long to be put together, keeps its text in
+    ``_corrupt_record``, and ``split_rejects`` separates those so none is lost.
+    Rows come back with ``_file``, ``_block`` and ``_row``, which order them as
+    they stand in the files (the meaning of "first").  The lines are landed
+    once in the shared folder.
     """
-    names = _header(spark, path) or [f.name for f in schema.fields]
-    missing = [f.name for f in schema.fields if f.name not in names]
-    if missing:
-        raise MissingColumnError(f"{path}: missing column(s) {missing}; header has {names}")
-    full = T.StructType(
-        [T.StructField(n, T.StringType(), True) for n in names] + [T.StructField(CORRUPT, T.StringType(), True)]
-    )
-    df = (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("encoding", "UTF-8")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("enforceSchema", False)  # each file's header is compared
-        .option("columnPruning", False)  # else a read of few columns does not see short lines
-        .schema(full)
-        .csv(path)
-    )
-    needed = max((names.index(f.name) + 1 for f in schema.fields if f.name not in MAY_LACK), default=0)
-    # fields of a line: commas outside quotes, and one
-    bare = F.regexp_replace(F.col(CORRUPT), '"[^"]*"', "")
-    held = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
-    return df.select(
-        *[F.col(f"`{f.name}`") for f in schema.fields],
-        F.when(held < needed, F.col(CORRUPT)).alias(CORRUPT),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
+    names = [f.name for f in schema.fields]
+    lines = csv_records.land_lines(spark, path, names)
+    head = csv_records.headers(lines, names)
+    bad = head.where(F.col("head").isNull() | F.array_contains("at", 0)).select("file").limit(5).collect()
+    if bad:
+        texts = lines.join(F.broadcast(head), ["file", "row"]).select("file", "line").where(F.col("file").isin([r[0] for r in bad])).limit(5).collect()
+        raise MissingColumnError("; ".join(f"{r['file']}: needs columns {names}; its first line is {r['line'][:200]!r}" for r in texts))
+    # one short row a file; the driver's own listing holds more of each
+    heads = F.broadcast(head.select("file", F.col("row").alias("head_row"), "at"))
+    whole, long = csv_records.records(lines)
+    parsed = whole.where(F.col("line") != "").join(heads, "file").where(F.col("row") != F.col("head_row")).withColumn("held", csv_records.fields(F.col("line")))
+    at = {n: F.col("at")[i] for i, n in enumerate(names)}
+    needed = F.greatest(F.lit(0), *[at[n] for n in names if n not in MAY_LACK], F.lit(0))
+    position = [F.col("file").alias("_file"), F.col("block").alias("_block"), F.col("row").alias("_row")]
+    rows = parsed.select(*[F.get("held", at[n] - 1).alias(n) for n in names], F.when(F.size("held") < needed, F.col("line")).alias(CORRUPT), *position)
+    return rows.unionByName(long.select(*[F.lit(None).cast("string").alias(n) for n in names], F.col("line").alias(CORRUPT), *position))
 
 
 def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(well-formed rows, malformed rows: line text, fields as parsed, position)."""
     fields = [c for c in raw.columns if c != CORRUPT and c not in CSV_SEQ]
-    # Spark refuses a file scan that reads only the corrupt-record column (as
-    # a count would after pruning), so the filters also read one field; the
-    # added condition is always true.
-    reads_a_field = F.length(F.coalesce(F.col(f"`{fields[0]}`"), F.lit(""))) >= 0
-    good = raw.where(F.col(CORRUPT).isNull() & reads_a_field).drop(CORRUPT)
-    bad = raw.where(F.col(CORRUPT).isNotNull() & reads_a_field).select(
-        F.col(CORRUPT).alias("line"), *[F.col(c) for c in fields], *[F.col(c) for c in CSV_SEQ]
-    )
+    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    bad = raw.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), *fields, *CSV_SEQ)
     return good, bad
 
 

@@ -129,3 +129,72 @@ def raw_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("created_at"),
         i.alias("seq"),
     )
+
+
+def twice(rows: DataFrame, key: str, one_in: int) -> DataFrame:
+    """``rows`` with those of one key in ``one_in`` standing twice."""
+    return rows.unionByName(rows.where(F.crc32(F.col(key).cast("binary")) % one_in == 0))
+
+
+#: Fixed value: the clock of the planted submissions.
+PLANTED_CLOCK = "2025-06-01 12:00:00"
+
+
+def planted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions of which every third names an id of an order line and every
+    fifth says no time."""
+    i = F.col("seq")
+    taken = F.concat(F.lit("O"), (i % 5000 + 1).cast("string"), F.lit("-"), (i % 4 + 1).cast("string"))
+    rows = raw_candidates(spark, sf_dir)
+    return rows.withColumns({
+        "order_id": F.when(i % 3 == 0, taken).otherwise(F.col("order_id")),
+        "created_at": F.when(i % 5 != 0, F.col("created_at")),
+    })
+
+
+def _quoted(c: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def _feed(rows: DataFrame, layouts: list[tuple[str, Column]], order: list[Column], bucket: Column, files: int, path: str) -> str:
+    """Write ``rows`` as ``files`` CSV files in the order of their buckets, each
+    with the header and line format of one layout in turn."""
+    spark = rows.sparkSession
+    k = F.col("bucket") % len(layouts)
+    line = F.coalesce(*[F.when(k == i, text) for i, (_, text) in enumerate(layouts)])
+    heads = spark.createDataFrame([(b, layouts[b % len(layouts)][0]) for b in range(files)], "bucket int, value string")
+    keys = [f"o{i}" for i in range(len(order))]
+    body = rows.withColumn("bucket", F.least(bucket, F.lit(files - 1)).cast("int")).select("bucket", line.alias("value"), *[c.alias(n) for n, c in zip(keys, order, strict=True)])
+    both = heads.unionByName(body, allowMissingColumns=True).withColumn("is_line", F.col(keys[0]).isNotNull())
+    # sorted by the folder's own column, so the writer keeps this order
+    dealt = both.withColumn("part", F.format_string("%05d", "bucket")).repartition(files, "part").sortWithinPartitions("part", "is_line", *keys)
+    dealt.select("part", "value").write.partitionBy("part").text(path)
+    return path
+
+
+def write_csv_feeds(spark: SparkSession, sf_dir: str, root: str, files: int = 6) -> tuple[str, str, str]:
+    """The raw feeds as CSV files, in arrival order: three layouts of columns,
+    quoted fields, line breaks inside quotes, short lines (a missing price is
+    left out) and lines with more fields than the header."""
+    o = raw_orders(spark, sf_dir)
+    last = o.agg(F.max("k1")).first()[0] or 0
+    spread = lambda c, top: (c * files / F.lit(top + 1)).cast("int")
+    plain = lambda *names: F.concat_ws(",", *[F.col(n) for n in names])
+    note = _quoted(F.concat(F.lit('said "'), F.col("sku"), F.lit('",\nthen left')))
+    priceless = F.when(F.col("unit_price") == "", F.lit("")).otherwise(F.concat(F.lit(","), F.col("unit_price"), F.when(F.col("k2") % 3 == 0, F.lit(',more,"x,y"')).otherwise(F.lit(""))))
+    orders = _feed(o, [
+        ("order_id,customer_id,sku,quantity,unit_price,order_date,channel", plain("order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel")),
+        ("channel,order_id,customer_id,sku,quantity,order_date,unit_price", F.concat(_quoted(F.concat("channel", F.lit("\n"))), F.lit(","), plain("order_id", "customer_id", "sku", "quantity", "order_date"), priceless)),
+        ('sku,note,channel,"unit_price",quantity,order_date,customer_id,order_id', F.concat_ws(",", F.col("sku"), note, F.col("channel"), F.col("unit_price"), F.col("quantity"), _quoted(F.col("order_date")), F.col("customer_id"), F.col("order_id"))),
+    ], [F.col(c) for c in ORDER_SEQ], spread(F.col("k1"), last), files, f"{root}/orders")
+    c = raw_customers(spark, sf_dir)
+    customers = _feed(c, [
+        ("customer_id,name,country,segment,created_at", F.concat(F.col("customer_id"), F.lit(","), _quoted(F.concat("name", F.lit(" \r\n "))), F.lit(","), plain("country", "segment", "created_at"))),
+        ("segment,created_at,country,name,customer_id,comment", F.concat(plain("segment", "created_at", "country", "name", "customer_id"), F.lit(',5" pipe'))),
+    ], [F.col("customer_id")], F.crc32(F.col("customer_id").cast("binary")) % files, files, f"{root}/customers")
+    p = raw_products(spark, sf_dir)
+    products = _feed(p, [
+        ("sku,category,cost,active", F.concat(plain("sku", "category", "cost"), F.lit(","), _quoted(F.col("active")))),
+        ("active,cost,category,sku", F.concat(plain("active", "cost"), F.lit(","), _quoted(F.concat(F.lit("\n"), "category")), F.lit(","), F.col("sku"))),
+    ], [F.col("sku")], F.crc32(F.col("sku").cast("binary")) % files, files, f"{root}/products")
+    return orders, customers, products

@@ -114,20 +114,85 @@ def test_short_and_long_lines_and_line_breaks(spark, tmp_path):
     assert rows["C3"]["name"] == 'a "b", c' and rows["C3"]["created_at"] == "2024-01-01"
     assert [r["line"] for r in bad.collect()] == ["C2,Ana,PE"]
     m = _write(tmp_path, "more.csv", head + 'C4,"Li\nLu",PE,Retail,2024-01-01\n')
-    good, bad = split_rejects(read_csv_raw(spark, m, CUSTOMERS_RAW, multi_line=True))
+    good, bad = split_rejects(read_csv_raw(spark, m, CUSTOMERS_RAW))
     assert [r["name"] for r in good.collect()] == ["Li\nLu"] and bad.count() == 0
 
 
-def test_files_with_another_header_order_are_refused(spark, tmp_path):
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
     import pytest
 
     from ordermart.schemas import PRODUCTS_RAW
-    from ordermart.sources.files import read_csv_raw
+    from ordermart.sources.files import MissingColumnError, read_csv_raw, split_rejects
 
     a = _write(tmp_path, "a.csv", "sku,category,cost,active\nS1,A,1,True\n")
-    b = _write(tmp_path, "b.csv", "category,sku,cost,active\nA,S2,1,True\n")
-    with pytest.raises(Exception, match="CSV header"):
-        read_csv_raw(spark, [a, b], PRODUCTS_RAW).collect()
+    b = _write(tmp_path, "b.csv", '\ufeff"category",sku,cost,active\r\n"B\r\nb",S2,2,False\r\n')
+    c = _write(tmp_path, "c.csv", "active,note,cost,sku,category\nTrue,,3,S3\nTrue,\"x\n,y\",4,S4,D\n")
+    _write(tmp_path, "empty.csv", "")
+    good, bad = split_rejects(read_csv_raw(spark, [a, b, c, str(tmp_path / "empty.csv")], PRODUCTS_RAW))
+    assert sorted(tuple(r)[:4] for r in good.collect()) == [("S1", "A", "1", "True"), ("S2", "B\nb", "2", "False"), ("S4", "D", "4", "True")]
+    assert [r["line"] for r in bad.collect()] == ["True,,3,S3"]
+    d = _write(tmp_path, "d.csv", "sku,category,cost\nS1,A,1\n")
+    with pytest.raises(MissingColumnError, match="active"):
+        read_csv_raw(spark, [a, d], PRODUCTS_RAW)
+
+
+def _python_reads(paths, names):
+    """(well-formed rows, others) as Python's dict reader gives them."""
+    import csv
+
+    from ordermart.sources.files import MAY_LACK
+
+    good, bad = [], 0
+    for p in paths:
+        with open(p, encoding="utf-8") as f:
+            for row in csv.DictReader(f):
+                if any(row[n] is None for n in names if n not in MAY_LACK):
+                    bad += 1
+                else:
+                    good.append(tuple(row[n] for n in names))
+    return good, bad
+
+
+def test_records_over_many_splits_equal_pythons_reader(spark, tmp_path):
+    """Generated files with quotes at all places, read in splits of a few bytes."""
+    import random
+
+    from ordermart.schemas import CUSTOMERS_RAW
+    from ordermart.sources.files import CSV_SEQ, read_csv_raw, split_rejects
+
+    names = [f.name for f in CUSTOMERS_RAW.fields]
+    rnd = random.Random(11)
+    bits = ["a", "b", " ", ",", '"', '""', "\n", "\r\n", "é", "x y", '"p,\nq"', '"l1\nl2\n\nl3"']
+    paths = []
+    for k in range(6):
+        order = rnd.sample(names, len(names)) + ["more"]
+        rows = ["".join(rnd.choices(bits, weights=[9, 9, 4, 9, 1, 1, 3, 1, 2, 2, 1, 1], k=rnd.randint(1, 14))) for _ in range(60)]
+        tame = [",".join(rnd.choice(["v", "", '"q ""z"""', '"a\nb"', 'c"d', '"e"f']) for _ in range(rnd.randint(2, 8))) for _ in range(120)]
+        body = "\n".join(tame[:60] + (rows if k % 2 else []) + tame[60:]) + ("" if k % 2 else "\n")
+        paths.append(_write(tmp_path, f"{k:02d}.csv", ",".join(order) + "\n" + body))
+    want, n_bad = _python_reads(paths, names)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "211")
+        raw = read_csv_raw(spark, paths, CUSTOMERS_RAW)
+        good, bad = split_rejects(raw)
+        got = [tuple(r)[: len(names)] for r in good.orderBy(*CSV_SEQ).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len({r["_block"] for r in raw.select("_block").collect()}) > 10
+    assert got == want and bad.count() == n_bad
+
+
+def test_a_quote_never_closed_keeps_its_lines(spark, tmp_path):
+    from ordermart.sources import csv_records
+
+    text = "k,v\n1,a\n2,\"open\n" + "\n".join(f"{i},x" for i in range(200))
+    path = _write(tmp_path, "open.csv", text)
+    lines = csv_records.land_lines(spark, path, ["k", "v"])
+    whole, long = csv_records.records(lines, max_record=100)
+    assert [r["line"] for r in whole.orderBy("row").collect()] == ["k,v", "1,a"] and long.count() == 201
+    whole, long = csv_records.records(lines)
+    assert whole.count() == 3 and long.count() == 0
 
 
 def test_an_accepted_order_loaded_by_a_batch_counts_once(spark, tmp_path):
