@@ -83,6 +83,49 @@ def test_chance_features_are_not_learned(labelled):
     assert len(none.keys) <= 2
 
 
+def test_features_chosen_on_the_cluster_are_those_chosen_at_hand(docs, llm, labelled):
+    rows, labels = labelled
+    fold = [i for i, *_ in labels if zlib.crc32(str(i).encode()) % 5]
+    text = dict(rows)
+    feats = [toxicity._features(toxicity.words_of(text[i])) for i in fold]
+    swaps = [x for i in fold for x in toxicity.counterfactuals(text[i], toxicity.IDENTITY_TERMS)]
+    here = toxicity.fit(feats, np.array([i % 4 == 0 for i in fold]), swaps)
+    there = toxicity.train(docs(rows), llm.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert list(here.keys) == list(there.keys) and np.allclose(here.weights, there.weights, atol=1e-6)
+
+
+def test_descent_ends_where_the_gradient_vanishes():
+    """Against the gradient of the stated loss, by finite differences."""
+    rng = np.random.default_rng(3)
+    n, width = 200, 6
+    x = rng.random((n, width)) < 0.4
+    toxic = rng.random(n) < 1 / (1 + np.exp(1 - 2.0 * x[:, 0] - 1.0 * x[:, 1]))
+    row, col = np.nonzero(x)
+    swaps = [(np.array([0]), np.array([2])), (np.array([1, 3]), np.array([4]))]
+    rate = toxic.mean()
+
+    def loss(w, b):
+        z = b + x @ w
+        weigh = np.where(toxic, 0.5 / rate, 0.5 / (1 - rate))
+        pairs = sum((w[c].sum() - w[g].sum()) ** 2 for g, c in swaps) / len(swaps)
+        return (weigh * (np.logaddexp(0, z) - toxic * z)).mean() + toxicity.RIDGE / 2 * (w @ w) + 3.0 * pairs
+
+    w, b = toxicity.descend(row, col, width, toxic, swaps, 3.0, 3000)
+    for k in range(width + 1):
+        step = np.zeros(width + 1)
+        step[k] = 1e-5
+        up, down = (loss(w + s * step[:-1], b + s * step[-1]) for s in (1, -1))
+        assert abs(up - down) / 2e-5 < 0.05
+
+
+def test_texts_of_one_id_and_an_empty_table(docs, llm):
+    labels = llm.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    many = [(i, "vile words here" if i % 2 else "kind words here") for i in range(40)] + [(1, "kind words here")] * 30 + [(None, "x " * 200_000)]
+    got = toxicity.score(docs(many), labels).collect()
+    assert len(got) == 71 and {r["predicted"] for r in got if r["doc_id"] not in (None, 1)} == {0, 1}
+    assert toxicity.score(docs([]), labels).count() == 0 and toxicity.drop_toxic(docs([]), labels).count() == 0
+
+
 def test_without_labels_of_both_kinds(docs, llm):
     none = llm.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.score(docs([(1, "a b"), (None, None)]), none).collect()
