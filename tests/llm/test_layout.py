@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from ordermart.llm import packing, sharding, syncmers, warc
@@ -173,6 +174,68 @@ def test_packs_every_id_once(docs):
     assert packing.pack(docs([(1, "a"), (1, "a"), (None, "b")]), WORD_BPE).count() == 3
 
 
+def test_seeds_get_their_best_neighbours_of_all_documents(llm, docs):
+    """Every seed's list, against BM25 of all pairs by plain loops."""
+    import math
+
+    rng = random.Random(21)
+    words = [f"{a}{b}" for a in "ba ko mi tu re".split() for b in "la ne si do fu".split()]
+    rows = [(i if i % 7 else None, " ".join(rng.choices(words, weights=range(1, 26), k=rng.randrange(0, 60)))) for i in range(240)]
+    rows += [(1000, rows[3][1]), (1001, rows[3][1]), (1003, None)]
+    tokens = packing.tokenised(docs(rows), WORD_BPE).collect()
+    ids = {r["row"]: packing.unpack(bytes(r["ids"])).tolist() for r in tokens}
+    seeds = {r["row"] for r in tokens if r["id"] is not None and r["id"] % 10 == 0}
+    n, mean, df = len(ids), sum(map(len, ids.values())) / len(ids), Counter(t for x in ids.values() for t in set(x))
+
+    def score(q, d):
+        tf = Counter(ids[d])
+        return sum(math.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf[t] * 2.2 / (tf[t] + 1.2 * (0.25 + 0.75 * len(ids[d]) / mean)) for t in set(ids[q]) if tf[t])
+
+    frame = llm.createDataFrame(tokens)
+    got = {}
+    for r in packing.neighbours(frame, seed_every=10, best=5, seed_block=7, index_docs=50).collect():
+        got.setdefault(r["seed"], {})[r["rank"]] = (r["row"], r["score"])
+    assert got.keys() == seeds and len(seeds) > 14
+    for q in seeds:
+        want = sorted((score(q, d) for d in ids if d not in seeds), reverse=True)[:5]
+        own = [got[q][k] for k in range(1, 6)]
+        assert [s for _, s in own] == pytest.approx(want, rel=1e-4)
+        assert all(score(q, d) == pytest.approx(s, rel=1e-4) for d, s in own)  # so the recall is 1
+
+
+def test_followers_stand_behind_their_seed(docs):
+    rng = random.Random(22)
+    rows = [(i, " ".join(rng.choices(["alpha", "beta", "gamma", "delta", "omega"], k=rng.randrange(3, 30))) + f" own{i % 40} own{i % 40}") for i in range(400)]
+    got = packing.pack(docs(rows), WORD_BPE, width=256, seed_every=50, shard_docs=16).collect()
+    place = {r["doc_id"]: (r["sequence_id"], r["offset"]) for r in got if r["start"] == 0}
+    order = [i for i, _ in sorted(place.items(), key=lambda x: x[1])]
+    assert sorted(order) == list(range(400)) and sum(r["length"] for r in got) == sum({r["doc_id"]: r["doc_tokens"] for r in got}.values())
+    tokens = packing.tokenised(docs(rows), WORD_BPE)
+    name = {r["row"]: r["id"] for r in tokens.select("row", "id").collect()}
+    chains = {}
+    for r in sorted(packing.followers(tokens, packing.neighbours(tokens, 50), 256).collect(), key=lambda r: r["rank"]):
+        chains.setdefault(name[r["lead"]], []).append(name[r["row"]])
+    assert len(chains) >= 3 and sum(map(len, chains.values())) > 16
+    for seed, chain in chains.items():
+        at = order.index(seed)
+        assert order[at + 1 : at + 1 + len(chain)] == chain
+
+
+
+def test_words_and_their_punctuation_are_encoded_apart(docs):
+    rng = random.Random(23)
+    bits = ["a", "Zb", "é", "É", "ß", "ñ", "don't", "DON'T", "'s", "'", "x's", "9", "1,5", "—", "…", "e\u0301", "ﬁ", "漢", ".", ",", "!?", "(", ")", "<|", "|>", "<|endoftext|>", "×", "÷", "…."]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", "", " ", "\n", "\u00a0"]) for _ in range(40)) for _ in range(400)]
+    with open(WORD_BPE, encoding="utf-8") as f:
+        encode = packing.Encoder(f.read())
+    assert encode.fold and encode.tails
+    plain = Tokenizer.from_file(WORD_BPE)
+    for lo in (0, 200):
+        for t, got in zip(texts[lo : lo + 200], encode([t.encode() for t in texts[lo : lo + 200]]), strict=True):
+            assert np.frombuffer(got, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
+    assert b"a" in encode.young and b"a," not in encode.young
+
+
 def test_neighbours_come_from_bm25():
     """The index ranks as the formula does over all terms of the query."""
     rng = np.random.default_rng(1)
