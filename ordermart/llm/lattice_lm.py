@@ -1,8 +1,8 @@
 """Language-model score of a text: marginal likelihood over a subword lattice.
 
 The tokens of a text are its words and one end.  Each language (by the
-language column, when at least 1 / ``LANGS`` of the rows have it; the rest
-together) has its own model: the probability of a word is
+language column, when it has ``LANG_BYTES`` of training text; the rest together)
+has its own model: the probability of a word is
     (c - D) / N  [if it was seen c > 0 times]  +  D * V / N * L(word)
 (absolute discounting), where L is the sum over all segmentations of the word
 into pieces of an existing vocabulary, each the product of unigram piece
@@ -42,10 +42,15 @@ from .common import crc_mod, cut
 
 HOT_WORDS = 1 << 18
 HOT_BYTES = 64
-#: Words up to this length go through the vectorised recursion.
-_VECTOR = 40
+#: Words up to this length go through the recursion together, so many bytes of
+#: them at a time.
+_VECTOR = 400
+_BLOCK = 1 << 18
+_STRETCH = 1 << 16  # bytes of a longer word handled at a time
 _FLUSH = 200_000
-#: Fewer than so many languages have a model of their own.
+#: Languages with so many bytes of training text have a model of their own, at
+#: most the LANGS - 1 with most of it (a model is a row of the piece table).
+LANG_BYTES = 1 << 18
 LANGS = 20
 
 
@@ -68,120 +73,184 @@ def pieces_of(path: str) -> tuple[list[bytes], list[bool]]:
 
 
 class Lattice:
-    """All segmentations of a word under unigram piece probabilities."""
+    """All segmentations of words under unigram piece probabilities, those of
+    one model a language (rows of ``logp``).  A word comes with its model."""
 
     def __init__(self, pieces: list[bytes], final: list[bool], logp: np.ndarray):
-        self.pieces, self.final, self.n = pieces, np.array(final), len(pieces)
-        self.logp = np.append(logp, -np.inf)  # the last stands for no piece
-        self.longest = max(map(len, pieces))
-        self.ids = {(p, f): i for i, (p, f) in enumerate(zip(pieces, final, strict=True))}
+        self.n, self.longest = len(pieces), max(map(len, pieces))
+        self.logp = np.atleast_2d(logp)
         data, off = T.as_bytes(pa.array(pieces, pa.binary()))
-        h = self._salt(T.hashes(data, off[:-1], off[1:], fold=False), self.final)
-        order = np.argsort(h)
-        self.hashes, self.order = h[order], order
-        bits = 20
-        self.shift = np.uint64(64 - bits)
-        slot = (self.hashes >> self.shift).astype(np.int64)
-        self.first = np.searchsorted(slot, np.arange((1 << bits) + 1))  # slot -> range of sorted hashes
+        h = self._salt(T.hashes(data, off[:-1], off[1:], fold=False), np.array(final))
+        self.order = np.argsort(h)
+        self.hashes = h[self.order]
+        # 22 bits of a hash say whether a piece may be there; 20 bits, where it is
+        self.may = np.zeros(1 << 22, bool)
+        self.may[h >> np.uint64(42)] = True
+        self.first = np.searchsorted(self.hashes >> np.uint64(44), np.arange((1 << 20) + 1)).astype(np.int32)
         self.depth = int(np.diff(self.first).max())
 
     @staticmethod
     def _salt(h: np.ndarray, final) -> np.ndarray:
         return T.mix(h + np.where(final, np.uint64(0x51ED), np.uint64(0)))
 
-    def _find(self, h: np.ndarray) -> np.ndarray:
-        slot = (h >> self.shift).astype(np.int64)
-        at, end = self.first[slot], self.first[slot + 1]
-        out = np.full(len(h), self.n)
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``h`` of hashes of pieces, ids of those pieces)."""
+        rows = np.flatnonzero(self.may[h >> np.uint64(42)])
+        h = h[rows]
+        at = self.first[h >> np.uint64(44)]
+        found = np.full(len(h), -1)
         for d in range(self.depth):
-            live = np.flatnonzero(at + d < end)
-            if not len(live):
-                break
-            place = at[live] + d
-            hit = self.hashes[place] == h[live]
-            out[live[hit]] = self.order[place[hit]]
-        return out
+            place = np.minimum(at + d, self.n - 1)
+            hit = self.hashes[place] == h
+            found[hit] = self.order[place[hit]]
+        ok = found >= 0
+        return rows[ok], found[ok]
 
-    def _edges(self, words: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-        """Piece ids of every substring of equally long words (rows)."""
-        n, length = words.shape
-        power, inverse = T._powers(length + 1)
-        total = np.zeros((length + 1, n), np.uint64)
-        np.cumsum(T._BYTE[words.T] * power[:length, None], axis=0, out=total[1:])
-        out = {}
-        for j in range(1, length + 1):
-            for i in range(max(0, j - self.longest), j):
-                h = T.mix((total[j] - total[i]) * inverse[i] + np.uint64((j - i) * int(T._COEF[63]) & T._M))
-                ids = self._find(self._salt(h, j == length))
-                if (ids < self.n).any():
-                    out[i, j] = ids
-        return out
+    @staticmethod
+    def _substrings(total: np.ndarray, inverse: np.ndarray, i, j) -> np.ndarray:
+        """Hash of the bytes i to j, by sums over the bytes up to each place."""
+        size = np.asarray(j - i, np.uint64) * T._COEF[63]
+        return T.mix((total[j] - total[i]) * inverse[i] + size)
+
+    # -- words of up to _VECTOR bytes: many at a time ----------------------------
+
+    def _edges(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Every piece in some words that stand one after another: (word, from,
+        to, piece, groups).  A word of n bytes has n + 1 places; ``from`` and
+        ``to`` count the places of all words.  Edges are in order of the byte
+        where they end in their word; a group ends at one place of a word at
+        most once."""
+        power, inverse = T._powers(len(data) + 1)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(T._BYTE[data] * power[: len(data)], out=total[1:])
+        word = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        end = np.repeat(start + size, size)
+        alive, found = np.arange(len(data)), []
+        for n in range(1, self.longest + 1):
+            alive = alive[alive + n <= end[alive]]
+            if not len(alive):
+                break
+            rows, ids = self._find(self._salt(self._substrings(total, inverse, alive, alive + n), alive + n == end[alive]))
+            found.append((alive[rows], np.full(len(rows), n), ids))
+        i, n, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+        w = word[i]
+        key = ((i - start[w] + n) * 64 + n).astype(np.uint16)
+        order = np.argsort(key, kind="stable")
+        key, i, n, ids, w = key[order], i[order], n[order], ids[order], w[order]
+        edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+        return w, i + w, i + w + n, ids, list(zip(edge.tolist(), np.append(edge[1:], len(key)).tolist(), strict=False))
 
-    def _forward(self, edges: dict, length: int, n: int) -> np.ndarray:
-        alpha = np.full((length + 1, n), -np.inf)
-        alpha[0] = 0
-        for (i, j), ids in edges.items():  # in order of j
-            alpha[j] = np.logaddexp(alpha[j], alpha[i] + self.logp[ids])
+    @staticmethod
+    def _forward(source: np.ndarray, target: np.ndarray, lp: np.ndarray, groups: list, begin: np.ndarray, places: int) -> np.ndarray:
+        """Log of the sum over the segmentations of the bytes up to each place."""
+        alpha = np.full(places, -np.inf)
+        alpha[begin] = 0
+        for lo, hi in groups:
+            t = target[lo:hi]
+            alpha[t] = np.logaddexp(alpha[t], alpha[source[lo:hi]] + lp[lo:hi])
         return alpha
 
-    def _long(self, word: bytes, count: np.ndarray | None = None) -> float:
-        """The same recursion for one long word, a position at a time."""
-        n, lp = len(word), self.logp
+    def _blocks(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, bytes, starts, sizes) of the short words, some at a time."""
+        size = np.array([len(w) for w in words], np.int64)
+        rows = np.flatnonzero(size <= _VECTOR)
+        for part in np.split(rows, np.searchsorted(np.cumsum(size[rows]), np.arange(_BLOCK, size[rows].sum(), _BLOCK))):
+            if len(part):
+                own = size[part]
+                yield part, np.frombuffer(b"".join([words[r] for r in part.tolist()]), np.uint8), np.cumsum(own) - own, own
+
+    # -- long words: a stretch of one at a time ----------------------------------
+
+    def _stretch(self, data: np.ndarray, lo: int, hi: int, lp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(i, j, piece) of every piece that ends in (lo, hi], in order of j."""
+        begin, n = max(0, lo - self.longest), len(data)
+        power, inverse = T._powers(hi - begin + 1)
+        total = np.zeros(hi - begin + 1, np.uint64)
+        np.cumsum(T._BYTE[data[begin:hi]] * power[: hi - begin], out=total[1:])
+        found = []
+        for size in range(1, self.longest + 1):
+            j = np.arange(max(lo + 1, begin + size), hi + 1) - begin
+            if len(j):
+                rows, ids = self._find(self._salt(self._substrings(total, inverse, j - size, j), j + begin == n))
+                found.append((j[rows] - size + begin, j[rows] + begin, ids))
+        i, j, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((i, j))
+        return i[order], j[order], ids[order]
+
+    def _run(self, source: np.ndarray, target: np.ndarray, lp: np.ndarray, alpha: np.ndarray) -> None:
+        """The recursion over edges that are grouped by target, in the order in
+        which sources are complete."""
+        edge = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]])) if len(target) else target
+        begin, end, at = edge.tolist(), np.append(edge[1:], len(target)).tolist(), target[edge].tolist()
+        source, lp, exp, log = source.tolist(), lp.tolist(), math.exp, math.log
+        base = min(min(source), min(at)) if at else 0
+        top = max(max(source), max(at)) if at else 0
+        a = alpha[base : top + 1].tolist()
+        for b, e, t in zip(begin, end, at, strict=True):
+            terms = [a[source[k] - base] + lp[k] for k in range(b, e)]
+            high = max(terms)
+            if high > -math.inf:
+                a[t - base] = high + log(sum([exp(x - high) for x in terms]))
+        alpha[base : top + 1] = a
+
+    def _long(self, word: bytes, z: int, count: np.ndarray | None = None) -> float:
+        """One long word, ``_STRETCH`` bytes at a time: 8 bytes of memory a
+        byte of it, twice that with ``count``."""
+        data, n, logp = np.frombuffer(word, np.uint8), len(word), self.logp[z]
         alpha = np.full(n + 1, -np.inf)
         alpha[0] = 0
-        spans: list[tuple[int, int, int]] = []
-        for j in range(1, n + 1):
-            own = [(i, self.ids.get((word[i:j], j == n), -1)) for i in range(max(0, j - self.longest), j)]
-            own = [(i, k) for i, k in own if k >= 0]
-            alpha[j] = np.logaddexp.reduce([alpha[i] + lp[k] for i, k in own]) if own else -np.inf
-            if count is not None:
-                spans += [(i, j, k) for i, k in own]
-        if count is not None:
+        for lo in range(0, n, _STRETCH):
+            i, j, ids = self._stretch(data, lo, min(n, lo + _STRETCH), logp)
+            self._run(i, j, logp[ids], alpha)
+        if count is not None and alpha[n] > -np.inf:
             beta = np.full(n + 1, -np.inf)
             beta[n] = 0
-            for i, j, k in reversed(spans):
-                beta[i] = np.logaddexp(beta[i], lp[k] + beta[j])
-            for i, j, k in spans:
-                count[k] += math.exp(alpha[i] + lp[k] + beta[j] - alpha[n])
+            for lo in reversed(range(0, n, _STRETCH)):
+                # edges that begin here; those of the next stretch that begin in it as well
+                i, j, ids = self._stretch(data, lo, min(n, lo + _STRETCH + self.longest), logp)
+                own = np.flatnonzero((i >= lo) & (i < lo + _STRETCH))
+                own = own[np.lexsort((j[own], -i[own]))]
+                i, j, ids = i[own], j[own], ids[own]
+                self._run(j, i, logp[ids], beta)
+                np.add.at(count, z * self.n + ids, np.exp(alpha[i] + logp[ids] + beta[j] - alpha[n]))
         return float(alpha[n])
 
-    def _by_length(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        size = np.array([len(w) for w in words])
-        for length in np.unique(size[size <= _VECTOR]):
-            rows = np.flatnonzero(size == length)
-            for lo in range(0, len(rows), 20_000):
-                part = rows[lo : lo + 20_000]
-                yield part, np.frombuffer(b"".join([words[r] for r in part]), np.uint8).reshape(len(part), length)
+    # -- both ----------------------------------------------------------------------
 
-    def score(self, words: list[bytes]) -> np.ndarray:
-        """Natural log of L for each word."""
+    def score(self, words: list[bytes], z: np.ndarray) -> np.ndarray:
+        """Natural log of L of each word, under its model."""
         out = np.empty(len(words))
-        for rows, m in self._by_length(words):
-            out[rows] = self._forward(self._edges(m), m.shape[1], len(rows))[-1]
-        for r, w in enumerate(words):
-            if len(w) > _VECTOR:
-                out[r] = self._long(w)
+        for rows, data, start, size in self._blocks(words):
+            w, source, target, ids, groups = self._edges(data, start, size)
+            begin = start + np.arange(len(size))
+            alpha = self._forward(source, target, self.logp[z[rows][w], ids], groups, begin, len(data) + len(size))
+            out[rows] = alpha[begin + size]
+        for r, word in enumerate(words):
+            if len(word) > _VECTOR:
+                out[r] = self._long(word, int(z[r]))
         return out
 
-    def expected(self, words: list[bytes]) -> np.ndarray:
-        """Expected uses of each piece over the words, each taken once."""
-        count = np.zeros(self.n + 1)
-        for _, m in self._by_length(words):
-            n, length = m.shape
-            edges = self._edges(m)
-            alpha = self._forward(edges, length, n)
-            beta = np.full((length + 1, n), -np.inf)
-            beta[length] = 0
-            for (i, j), ids in reversed(edges.items()):
-                lp = self.logp[ids]
-                beta[i] = np.logaddexp(beta[i], lp + beta[j])
-                with np.errstate(invalid="ignore"):
-                    gain = np.exp(alpha[i] + lp + beta[j] - alpha[length])
-                count += np.bincount(ids, np.nan_to_num(gain), self.n + 1)
-        for w in words:
-            if len(w) > _VECTOR:
-                self._long(w, count)
-        return count[:-1]
+    def expected(self, words: list[bytes], z: np.ndarray) -> np.ndarray:
+        """Expected uses of each piece over the words, by model."""
+        count = np.zeros(self.logp.size)
+        for rows, data, start, size in self._blocks(words):
+            w, source, target, ids, groups = self._edges(data, start, size)
+            begin, places = start + np.arange(len(size)), len(data) + len(size)
+            own = z[rows][w]
+            lp = self.logp[own, ids]
+            alpha = self._forward(source, target, lp, groups, begin, places)
+            beta = np.full(places, -np.inf)
+            beta[begin + size] = 0
+            for lo, hi in reversed(groups):
+                i = source[lo:hi]
+                beta[i] = np.logaddexp(beta[i], lp[lo:hi] + beta[target[lo:hi]])
+            with np.errstate(invalid="ignore"):
+                gain = np.exp(alpha[source] + lp + beta[target] - alpha[(begin + size)[w]])
+            count += np.bincount(own * self.n + ids, np.nan_to_num(gain), len(count))
+        for r, word in enumerate(words):
+            if len(word) > _VECTOR:
+                self._long(word, int(z[r]), count)
+        return count.reshape(self.logp.shape)
 
 
 def from_counts(count: np.ndarray) -> np.ndarray:
@@ -220,14 +289,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def score(
-    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out_mod: int = 10, hot_words: int = HOT_WORDS
+    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out_mod: int = 10, hot_words: int = HOT_WORDS,
+    lang_bytes: int = LANG_BYTES,
 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for
     each row; ``vocabulary``: path of a byte-level BPE file with word ends."""
     sc = docs.sparkSession.sparkContext
     lang = F.col(lang_col).cast("string")
-    n_rows = docs.count()
-    langs = sorted(r[0] for r in docs.groupBy(lang.alias("l")).count().where((F.col("l").isNotNull()) & (F.col("count") * LANGS > n_rows)).collect())
+    by_lang = docs.where(crc_mod(id_col, held_out_mod) != 0).groupBy(lang.alias("l")).agg(F.sum(F.octet_length(F.col(text_col).cast("binary"))).alias("bytes"))
+    langs = sorted(r[0] for r in by_lang.where(F.col("l").isNotNull() & (F.col("bytes") >= lang_bytes)).orderBy(F.desc("bytes"), "l").limit(LANGS - 1).collect())
     z = F.lit(len(langs))
     for i, x in enumerate(langs):
         z = F.when(lang == x, F.lit(i)).otherwise(z)
@@ -270,14 +340,12 @@ def score(
         sent = sc.broadcast(logp)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lattices, count = [], np.zeros(logp.shape)
+            lattice, count = None, np.zeros(logp.shape)
             for batch in batches:
-                lattices = lattices or [Lattice(*vocab.value, x) for x in sent.value]
-                word = np.array(batch.column(0).to_pylist(), object)
-                use = np.array(batch.column(1).to_pylist()).reshape(len(word), -1) > 0
-                for i, lattice in enumerate(lattices):
-                    if use[:, i].any():
-                        count[i] += lattice.expected(word[use[:, i]].tolist())
+                lattice = lattice or Lattice(*vocab.value, sent.value)
+                word = batch.column(0).to_pylist()
+                row, model = np.nonzero(np.array(batch.column(1).to_pylist()).reshape(len(word), -1) > 0)
+                count += lattice.expected([word[r] for r in row.tolist()], model)
             at = np.flatnonzero(count.ravel() > 1e-6)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count.ravel()[at])], ["piece", "uses"])
 
@@ -294,20 +362,18 @@ def score(
     sent = sc.broadcast(logp)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = []
+        lattice = None
         for batch in batches:
-            lattices = lattices or [Lattice(*vocab.value, x) for x in sent.value]
-            word = np.array(batch.column(0).to_pylist(), object)
+            lattice = lattice or Lattice(*vocab.value, sent.value)
+            word = batch.column(0).to_pylist()
             c = batch.column(1).to_numpy().astype(float)
-            trains, seens = (np.array(batch.column(k).to_pylist(), float).reshape(len(word), len(lattices)) for k in (3, 4))
+            trains, seens = (np.array(batch.column(k).to_pylist(), float).reshape(len(word), len(total)) for k in (3, 4))
             model = np.full(trains.shape, -300.0)  # a language that never has the word never asks
-            for i, lattice in enumerate(lattices):
-                use = np.flatnonzero(seens[:, i] > 0)
-                if len(use):
-                    logl = lattice.score(word[use].tolist())
-                    seen_p = np.maximum(trains[use, i] - discount[i], 0) / total[i]
-                    with np.errstate(divide="ignore"):  # in logs: a very long word is below what a double holds
-                        model[use, i] = np.logaddexp(np.log(seen_p), math.log(left[i]) + logl) / math.log(10)
+            row, i = np.nonzero(seens > 0)
+            logl = lattice.score([word[r] for r in row.tolist()], i)
+            seen_p = np.maximum(trains[row, i] - discount[i], 0) / total[i]
+            with np.errstate(divide="ignore"):  # in logs: a very long word is below what a double holds
+                model[row, i] = np.logaddexp(np.log(seen_p), np.log(left)[i] + logl) / math.log(10)
             flat = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(flat), pa.array(model.tolist(), pa.list_(pa.float64()))], ["word", "train", "seen", "base", "model"]
