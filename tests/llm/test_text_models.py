@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -140,20 +141,37 @@ def test_without_labels_of_both_kinds(docs, llm):
 def test_lattice_is_the_sum_over_all_segmentations():
     pieces, final = lattice_lm.pieces_of(WORD_BPE)
     rng = np.random.default_rng(0)
-    lattice = lattice_lm.Lattice(pieces, final, lattice_lm.from_counts(rng.random(len(pieces))))
-    assert abs(np.exp(lattice.logp[:-1]).sum() - 1) < 1e-9
+    logp = np.stack([lattice_lm.from_counts(rng.random(len(pieces))) for _ in range(2)])
+    lattice, place = lattice_lm.Lattice(pieces, final, logp), {(p, f): i for i, (p, f) in enumerate(zip(pieces, final, strict=True))}
+    assert np.abs(np.exp(logp).sum(1) - 1).max() < 1e-9
     words = [b"the", b"thatre", b"unging,", "né".encode(), b"x", b"tionthed", "漢".encode()]
-    for w, got in zip(words, lattice.score(words), strict=True):
+    z = np.array([0, 1, 0, 1, 1, 0, 1])
+    for w, own, got in zip(words, z, lattice.score(words, z), strict=True):
         total = 0.0
         for cuts in itertools.product([0, 1], repeat=len(w) - 1):
             at = [0, *(i + 1 for i, c in enumerate(cuts) if c), len(w)]
-            ids = [lattice.ids.get((w[a:b], b == len(w))) for a, b in itertools.pairwise(at)]
-            total += 0.0 if None in ids else math.exp(sum(lattice.logp[i] for i in ids))
-        assert abs(got - math.log(total)) < 1e-9 and abs(lattice._long(w) - got) < 1e-9
+            ids = [place.get((w[a:b], b == len(w))) for a, b in itertools.pairwise(at)]
+            total += 0.0 if None in ids else math.exp(sum(logp[own][i] for i in ids))
+        assert abs(got - math.log(total)) < 1e-9 and abs(lattice._long(w, own) - got) < 1e-9
+    count = np.zeros(logp.size)
+    for w, own in zip(words, z, strict=True):
+        lattice._long(w, own, count)
+    assert np.abs(count.reshape(logp.shape) - lattice.expected(words, z)).max() < 1e-9
+
+
+def test_long_words_go_stretch_by_stretch(monkeypatch):
+    pieces, final = lattice_lm.pieces_of(WORD_BPE)
+    lattice = lattice_lm.Lattice(pieces, final, lattice_lm.from_counts(np.random.default_rng(1).random(len(pieces))))
+    rng, zero = random.Random(9), np.zeros(1, int)
+    word = bytes(rng.choice(b"abcdeinorst-") for _ in range(lattice_lm._VECTOR))
+    whole, uses = lattice.score([word], zero)[0], lattice.expected([word], zero).ravel()
+    monkeypatch.setattr(lattice_lm, "_STRETCH", 37)
     count = np.zeros(lattice.n)
-    for w in words:
-        lattice._long(w, count)
-    assert np.abs(count - lattice.expected(words)).max() < 1e-9
+    assert abs(lattice._long(word, 0, count) - whole) < 1e-8 and np.abs(count - uses).max() < 1e-8
+    monkeypatch.undo()
+    began = time.time()
+    assert lattice.score([word * 5000], zero)[0] < -1e6  # two million bytes
+    assert time.time() - began < 60
 
 
 @pytest.mark.parametrize("hot_words", [3, 1 << 18])
@@ -179,6 +197,76 @@ def test_scores(docs, hot_words):
     assert all(r["score"] < 0 for r in got)
 
 
+def plain_scores(rows, hot_words, lang_bytes):
+    """The final score of each row, by plain loops."""
+    pieces, final = lattice_lm.pieces_of(WORD_BPE)
+    place = {(p, f): i for i, (p, f) in enumerate(zip(pieces, final, strict=True))}
+    longest = max(map(len, pieces))
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0
+    text = [(i, (t or "").lower().encode().split(), lang) for i, t, lang in rows]
+    size = Counter()
+    for i, t, lang in rows:
+        if not held(i):
+            size[lang] += len((t or "").encode())
+    langs = sorted(x for x in size if x is not None and size[x] >= lang_bytes)
+    model = lambda lang: langs.index(lang) if lang in langs else len(langs)
+    train, seen, ends = [Counter() for _ in range(len(langs) + 1)], Counter(), Counter()
+    for i, words, lang in text:
+        seen.update(words)
+        if not held(i):
+            train[model(lang)].update(words)
+            ends[model(lang)] += 1
+
+    def edges(w):
+        return [(i, j, place[w[i:j], j == len(w)]) for j in range(1, len(w) + 1) for i in range(max(0, j - longest), j) if (w[i:j], j == len(w)) in place]
+
+    def forward(w, p):
+        a = [1.0] + [0.0] * len(w)
+        for i, j, k in edges(w):
+            a[j] += a[i] * p[k]
+        return a
+
+    def step(ps, words):
+        out = []
+        for c, p in zip(train, ps, strict=True):
+            uses = np.zeros(len(pieces))
+            for w in words & c.keys():
+                a, es = forward(w, p), edges(w)
+                back = [0.0] * len(w) + [1.0]
+                for i, j, k in reversed(es):
+                    back[i] += p[k] * back[j]
+                for i, j, k in es:
+                    uses[k] += a[i] * p[k] * back[j] / a[-1]
+            out.append((uses + 0.01) / (uses + 0.01).sum())
+        return out
+
+    known = {w for c in train for w in c}
+    hot = {w for w in known if seen[w] * hot_words >= sum(seen.values())}
+    rank = 1 / np.arange(2, len(pieces) + 2) + 0.01
+    ps = [rank / rank.sum()] * len(train)
+    for words in (hot, hot, known):
+        ps = step(ps, words)
+    out = Counter()
+    for i, words, lang in text:
+        c, p, n_end = train[model(lang)], ps[model(lang)], ends[model(lang)]
+        n1, n2 = (sum(x == k for x in c.values()) for k in (1, 2))
+        n, d = (sum(c.values()) + n_end, n1 / (n1 + 2 * n2) if n1 and n2 else 0.5) if c else (1, 0.5)
+        left, end = (d * len(c) / n, n_end / n) if c else (0.5, 0.5)
+        total = math.log10(end) + sum(math.log10(max(c[w] - d, 0) / n + left * forward(w, p)[-1]) for w in words)
+        out[i, round(total, 5)] += 1
+    return out
+
+
+@pytest.mark.parametrize("hot_words", [20, 1 << 18])
+def test_score_equals_plain_loops(docs, hot_words):
+    rng = random.Random(8)
+    vocabulary = [*"the of and é漢 a".split(), *(f"{rng.choice(['thing', 'ration', 'un', 'qz'])}{rng.choice(['s', 'ed', '', '.'])}{k % 7}" for k in range(60))]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(1, 40))), rng.choice(["en", "de", "xx", None])) for i in range(120)]
+    rows += [(500, None, "en"), (501, "", "de"), (502, "onlyhere", "zz")]
+    got = lattice_lm.score(docs(rows), WORD_BPE, hot_words=hot_words, lang_bytes=4000).collect()
+    assert Counter((r["doc_id"], round(r["score"], 5)) for r in got) == plain_scores(rows, hot_words, 4000)
+
+
 def test_lm_on_nothing(docs):
     assert lattice_lm.score(docs([]), WORD_BPE).count() == 0
 
@@ -188,22 +276,86 @@ def test_lm_on_nothing(docs):
 def test_probabilities_of_a_context_sum_to_one(docs, llm):
     texts = llm.createDataFrame([("abracadabra abba",), ("the cat sat on the mat",), ("banana",)], "text string")
     model = kneser_ney.train(texts).toPandas()
-    scorer = kneser_ney.Scorer(model.g.tolist(), model.n.to_numpy(), model.lp.to_numpy(float), model.lg.to_numpy(float))
+    floor = float(model.lg[model.n == 0].iloc[0]) - math.log(int(((model.n == 1) & model.lp.notna()).sum()) + 1)
+    scorer = kneser_ney.Scorer(model.g.tolist(), model.n.to_numpy(), model.lp.to_numpy(float), model.lg.to_numpy(float), floor, True)
     letters = sorted({c for c in "abracadabra abba the cat sat on the mat banana"})
     for before in ("ab", "the ", "zzz", "na", ""):
-        whole, n = scorer.log_prob(before)
+        whole, n = log_prob(scorer, before)
         end = math.exp(whole - inner(scorer, before))
         total = end + sum(math.exp(inner(scorer, before + c) - inner(scorer, before)) for c in [*letters, "香"])
         assert abs(total - 1) < 1e-6, (before, total)
         assert n == len(before) + 1
 
 
+def log_prob(scorer, text):
+    """(log probability, characters and end) of one text."""
+    total, ends, rest = scorer.log_probs([text])
+    assert rest == []
+    return float(total[0]), int(ends[0])
+
+
+def plain_kneser_ney(texts):
+    """A function that gives the log probability of a text, by plain loops."""
+    top = Counter(p[i : i + 4] for t in texts for p in ["\x02" * 3 + t + "\x03"] for i in range(len(p) - 3))
+    counts = {4: top}
+    for n in (3, 2, 1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    seen, left = {}, {}
+    for n in (1, 2, 3, 4):
+        own = {g: c for g, c in counts[n].items() if not g.endswith("\x02")}
+        of = [sum(c == k for c in own.values()) for k in (1, 2, 3, 4)]
+        y = of[0] / (of[0] + 2 * of[1]) if of[0] else 0.0
+        d = [min(0.95 * k, max(0.05, k - (k + 1) * y * of[k] / of[k - 1])) if of[k - 1] and of[k] else 0.5 for k in (1, 2, 3)]
+        total, freed, kinds = Counter(), Counter(), Counter()
+        for g, c in own.items():
+            total[g[:-1]] += c
+            freed[g[:-1]] += d[min(c, 3) - 1]
+            kinds[g[:-1]] += 1
+        for x in total:
+            left[x] = freed[x] / total[x]
+        for g, c in own.items():
+            lower = 1 / (kinds[""] + 1) if n == 1 else prob(seen, left, g[1:])
+            seen[g] = (c - d[min(c, 3) - 1]) / total[g[:-1]] + left[g[:-1]] * lower
+        if n == 1:
+            seen[""] = left[""] / (kinds[""] + 1)
+
+    def score(text):
+        p = "\x02" * 3 + text + "\x03"
+        return sum(math.log(prob(seen, left, p[i : i + 4])) for i in range(len(p) - 3)) / (len(p) - 3)
+
+    return score
+
+
+def prob(seen, left, g):
+    if g in seen:
+        return seen[g]
+    return left.get(g[:-1], 1.0) * prob(seen, left, g[1:]) if len(g) > 1 else seen[""]
+
+
+@pytest.mark.parametrize("model_ngrams", [1 << 20, 60, 1])
+def test_perplexity_equals_plain_loops_however_few_ngrams_are_sent(docs, llm, model_ngrams):
+    rng = random.Random(16)
+    good = [(i, " ".join(rng.choice(["the", "cat", "sät", "mat", "on", "is", "red"]) for _ in range(rng.randrange(0, 30)))) for i in range(60)]
+    other = [(100 + i, "".join(rng.choice("thecasmonird äqx\x02漢") for _ in range(rng.randrange(0, 90)))) for i in range(30)] + [(500, None), (501, ""), (None, good[3][1])]
+    labels = llm.createDataFrame([(i, 1, 0) for i, _ in good], "doc_id long, quality int, toxic int")
+    got = kneser_ney.perplexity(docs(good + other, extra="g row grams total"), labels, model_ngrams=model_ngrams).collect()
+    score = plain_kneser_ney([t for _, t in good])
+    assert Counter((r["doc_id"], r["n_chars"], round(r["log_perplexity"], 6)) for r in got) == Counter((i, len(t or ""), round(-score(t or ""), 6)) for i, t in good + other)
+
+
+def test_perplexity_of_nothing_and_of_a_very_long_text(docs, llm):
+    labels = llm.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert kneser_ney.perplexity(docs([]), labels).count() == 0
+    got = {r["doc_id"]: r for r in kneser_ney.perplexity(docs([(1, "the cat"), (2, "the cat sat. " * 200_000)]), labels).collect()}
+    assert got[2]["n_chars"] == 2_600_000 and got[2]["log_perplexity"] > 0
+
+
 def inner(scorer, text):
     """Log probability of the characters without the end."""
     if not text:
         return 0.0
-    with_x, _ = scorer.log_prob(text + "袈")
-    end = scorer.log_prob(text + "袈")[0] - with_x
+    with_x, _ = log_prob(scorer, text + "袈")
+    end = log_prob(scorer, text + "袈")[0] - with_x
     return end + prefix(scorer, text)
 
 
@@ -212,7 +364,7 @@ def prefix(scorer, text):
     keep = kneser_ney._points
     try:
         kneser_ney._points = lambda _: points
-        return scorer.log_prob("")[0]
+        return log_prob(scorer, "")[0]
     finally:
         kneser_ney._points = keep
 
