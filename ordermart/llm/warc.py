@@ -7,8 +7,8 @@ record type and header predicates (pushed filters on ``record_type``,
 of a record that is not wanted, or whose payload is not asked for, is skipped
 without decoding: by a seek in plain files and, in gzip files of a member per
 record, by the compressed length that the writer leaves in the member header
-(the ``sl`` extra field of the WARC annex); members without it are inflated to
-their end in bounded pieces.  ``payload_bytes`` and ``payload_sha1`` are taken
+(the ``sl`` extra field of the WARC annex); members without it, which may hold
+any number of records, are inflated in bounded pieces.  ``payload_bytes`` and ``payload_sha1`` are taken
 from the payload itself; the declared digest must agree.
 
 Files are opened through ``pyarrow.fs``, so local, HDFS and object-store paths
@@ -132,6 +132,19 @@ class _Member:
         self.ready = whole[n:]
         return whole[:n]
 
+    def follows(self, rest: int) -> bool:
+        """Pass over the ``rest`` of a record; whether another one stands in
+        the same member.  One that says its length holds a single record."""
+        if self.length and self.length < 0xFFFF0000:
+            return False
+        rest += 4  # the two line ends after the block
+        while rest > 0 and (self.ready or self._more()):
+            part = min(rest, len(self.ready))
+            self.ready, rest = self.ready[part:], rest - part
+        while not self.ready and self._more():
+            pass
+        return bool(self.ready)
+
     def end(self, length: int) -> int:
         """Where the next member begins."""
         if self.length and self.length < 0xFFFF0000:
@@ -164,6 +177,9 @@ class _Plain:
         self.stream.seek(self.block)
         return self.stream.read(n)
 
+    def follows(self, rest: int) -> bool:
+        return False
+
     def end(self, length: int) -> int:
         return self.block + length + 4
 
@@ -184,28 +200,35 @@ def parse_headers(block: bytes) -> tuple[str, dict[str, str]]:
 
 
 def read_records(stream, size: int, wanted, payload: bool) -> Iterator[tuple[int, dict[str, str], bytes | None]]:
-    """(position, headers, payload) of the records whose headers are wanted."""
+    """(position, headers, payload) of the records whose headers are wanted.
+    Records of one gzip member have its position."""
     at = 0
     stream.seek(0)
     packed = stream.read(2) == b"\x1f\x8b"
     while at < size:
-        one = (_Member if packed else _Plain)(stream, at)
-        head = one.header()
-        if not head.strip():
+        one, more = (_Member if packed else _Plain)(stream, at), True
+        length = 0
+        while more:  # records of one member
+            head = one.header()
+            if not head.strip():
+                break
+            version, headers = parse_headers(head.lstrip())
+            if not version.startswith("WARC/"):
+                raise ValueError(f"no WARC record at {at}: {version[:40]!r}")
+            length = rest = int(headers.get("content-length", 0))
+            if wanted(headers):
+                body = None
+                if payload:
+                    body = one.read(length)
+                    rest -= len(body)
+                    if rest:
+                        raise ValueError(f"the record at {at} is cut off")
+                    if headers.get("content-type", "").lower().replace(" ", "").startswith("application/http") and b"\r\n\r\n" in body:
+                        body = body.partition(b"\r\n\r\n")[2]
+                yield at, headers, body
+            more = one.follows(rest)
+        if not packed and not head.strip():
             break
-        version, headers = parse_headers(head.lstrip())
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no WARC record at {at}: {version[:40]!r}")
-        length = int(headers.get("content-length", 0))
-        if wanted(headers):
-            body = None
-            if payload:
-                body = one.read(length)
-                if len(body) < length:
-                    raise ValueError(f"the record at {at} is cut off")
-                if headers.get("content-type", "").lower().replace(" ", "").startswith("application/http") and b"\r\n\r\n" in body:
-                    body = body.partition(b"\r\n\r\n")[2]
-            yield at, headers, body
         at = one.end(length)
 
 
@@ -235,6 +258,7 @@ class WarcReader(DataSourceReader):
         self.names = [f.name for f in schema.fields]
         self.path = options["path"]
         self.most = int(options.get("bytes_per_partition", 1 << 27))
+        self.parallel = int(options.get("parallelism", 1))
         self.tests: list[tuple[str, list]] = []
 
     def pushFilters(self, filters: list[Filter]):
@@ -254,11 +278,15 @@ class WarcReader(DataSourceReader):
         else:
             listed = system.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
             files = sorted((f.path, f.size) for f in listed if f.is_file and f.base_name.endswith((".warc", ".warc.gz")) and not f.base_name.startswith((".", "_")))
+        most = max(1 << 20, min(self.most, sum(s for _, s in files) // self.parallel + 1))
         out: list[list[tuple[str, int]]] = [[]]
+        used = 0
         for f in files:  # small files share a partition
-            if out[-1] and sum(s for _, s in out[-1]) + f[1] > self.most:
+            if out[-1] and used + f[1] > most:
                 out.append([])
+                used = 0
             out[-1].append(f)
+            used += f[1]
         return [_Files(x) for x in out]
 
     def read(self, partition: _Files) -> Iterator[tuple]:
@@ -374,7 +402,7 @@ def read_warc(spark: SparkSession, path: str, columns: str = SCHEMA) -> DataFram
     """Records under ``path``; ``columns`` (DDL) names those to be read, and
     payloads are decoded only if one of them needs it."""
     register(spark)
-    return spark.read.format("warc").schema(columns).load(path)
+    return spark.read.format("warc").schema(columns).option("parallelism", spark.sparkContext.defaultParallelism).load(path)
 
 
 def archive_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> None:
@@ -424,7 +452,11 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     spark = pages.sparkSession
     path = new_run_dir(spark, "llm-warc")
     archive_pages(pages, path, id_col, url_col, html_col)
-    columns = "record_id string, record_type string, refers_to string, declared_digest string, headers map<string,string>, payload_bytes long, payload_sha1 string"
-    return page_records(read_warc(spark, path, columns), id_col)
+    by_header = "record_id string, record_type string, refers_to string, declared_digest string, headers map<string,string>"
+    of_payload = "payload_bytes long, payload_sha1 string"
+    # the record type is pushed into both scans; that of the revisits decodes no payload
+    responses = read_warc(spark, path, f"{by_header}, {of_payload}").where("record_type = 'response'")
+    revisits = read_warc(spark, path, by_header).where("record_type = 'revisit'")
+    return page_records(responses.unionByName(revisits, allowMissingColumns=True), id_col)
 
 
