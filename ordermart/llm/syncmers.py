@@ -4,12 +4,15 @@ A k-mer of code points is an anchor when its smallest inner s-mer (by hash)
 lies at its first or last place.  That depends on the k-mer alone, so equal
 passages have equal anchors wherever they stand.  The n-th occurrence of an
 anchor is an element of its own, so long repetitions weigh by their length.  A
-fingerprint is the bottom ``SKETCH`` elements by hash, each with its position,
-as hex text (8 digits of hash, 8 of position).
+fingerprint holds every element whose hash is below ``SHARE`` of all hashes, and
+the ``SKETCH`` smallest at least, each with its position, as hex text (8 digits
+of hash, 8 of position); so it grows with the text, and passages in common show
+however long the texts around them are.
 
-Likeness of two fingerprints: among the smallest anchors of their union, those
-in both and in the same order (longest chain of rising positions) estimate the
-Jaccard similarity J; the likeness is 2 J / (1 + J), the share in common.
+Likeness of two fingerprints: among the elements up to a hash that both cover
+(the larger of ``SHARE`` and the ``SKETCH``-th of their union), those in both and
+in the same order (longest chain of rising positions) estimate the Jaccard
+similarity J; the likeness is 2 J / (1 + J), the share in common.
 
 Defined cases: null counts as empty, whose fingerprint is the empty string; a
 text without an anchor has its whole text as the one anchor; two empty texts
@@ -33,6 +36,8 @@ from pyspark.sql import functions as F
 from . import textops as T
 
 K, S, SKETCH = 12, 5, 64
+SHARE = 1 / 16
+_LIMIT = int(SHARE * (1 << 32))  # elements are 32-bit hashes
 #: Code points hashed at a time.
 _PIECE = 1 << 20
 _C = T._fixed(S, 1234) | np.uint64(1)
@@ -75,10 +80,12 @@ def sketch(text: str | None, size: int = SKETCH) -> np.ndarray:
     begins = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
     nth = np.arange(len(h)) - np.maximum.accumulate(np.where(begins, np.arange(len(h)), 0)) if len(h) else at
     own = (T.mix(h + nth.astype(np.uint64) * _C[0]) >> np.uint64(32)).astype(np.uint32)
-    low = np.argpartition(own, size * 2)[: size * 2] if len(own) > size * 2 else np.arange(len(own))
+    near = max(int((own < _LIMIT).sum()), size * 2)
+    low = np.argpartition(own, near)[:near] if len(own) > near else np.arange(len(own))
     low = low[np.argsort(at[low], kind="stable")]
     own, first = np.unique(own[low], return_index=True)
-    return np.stack([own[:size], at[low][first][:size].astype(np.uint32)], axis=1)
+    keep = max(size, int(np.searchsorted(own, _LIMIT)))
+    return np.stack([own[:keep], at[low][first][:keep].astype(np.uint32)], axis=1)
 
 
 def encode(sk: np.ndarray) -> str:
@@ -94,7 +101,8 @@ def likeness(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:
         return 1.0
     if not len(a) or not len(b):
         return 0.0
-    union = np.union1d(a[:, 0], b[:, 0])[:size]
+    union = np.union1d(a[:, 0], b[:, 0])
+    union = union[: max(size, int(np.searchsorted(union, _LIMIT)))]
     common, i, j = np.intersect1d(a[:, 0], b[:, 0], assume_unique=True, return_indices=True)
     seen = common <= union[-1]
     order = np.argsort(a[i[seen], 1], kind="stable")
