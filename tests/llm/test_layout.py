@@ -1,19 +1,24 @@
 """WARC, fingerprints, packing and sharding against plain Python."""
 
 import base64
+import contextlib
 import gzip
 import hashlib
+import io
+import itertools
 import os
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from ordermart.llm import packing, sharding, syncmers, warc
+from ordermart.llm import packing, sharding, syncmers, warc, word_bpe
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -72,9 +77,30 @@ def test_headers_decide_before_payloads(llm, tmp_path):
     for whole in (data, plain):
         got = [(h["warc-type"], b) for _, h, b in warc.read_records(Counting(whole), len(whole), lambda h: h["warc-type"] == "response", True)]
         assert got == [("response", noise + b"response")] * 2
-    # members without the length are inflated to their end
-    bare = b"".join(gzip.compress(plain[i : i + len(plain) // 3]) for i in ())
-    assert bare == b""
+    # members without the length are inflated: one for each record, one for all, or as they come
+    edge = [m.start() for m in re.finditer(rb"WARC/1\.1\r\n", plain)] + [len(plain)]
+    own = [plain[a:b] for a, b in itertools.pairwise(edge)]
+    assert b"".join(own) == plain and len(own) == 3
+    empty = warc.record([("WARC-Type", "response")], b"")
+    for whole in (b"".join(map(gzip.compress, own)), gzip.compress(plain), gzip.compress(own[0]) + gzip.compress(own[1] + own[2]), empty + gzip.compress(plain) + data):
+        all_types = [h["warc-type"] for _, h, _ in warc.read_records(Counting(whole), len(whole), lambda h: True, False)]
+        assert all_types[-3:] == ["response", "revisit", "response"]
+        got = [b for _, h, b in warc.read_records(Counting(whole), len(whole), lambda h: h["warc-type"] == "revisit", True)]
+        assert got == [noise + b"revisit"] * (2 if whole.startswith(empty) else 1)
+    with open(tmp_path / "one.warc.gz", "wb") as f:
+        f.write(gzip.compress(b"".join(gzip.decompress(warc.record([("WARC-Type", "response"), ("WARC-Record-ID", str(k)), ("Content-Type", "text/plain")], b"p" * k)) for k in range(50))))
+    rows = warc.read_warc(llm, str(tmp_path / "one.warc.gz"), "record_id string, payload_bytes long").collect()
+    assert [(r["record_id"], r["payload_bytes"]) for r in rows] == [(str(k), k) for k in range(50)]
+
+
+def test_the_query_pushes_the_record_type(llm):
+    df = warc.round_trip(pages(llm, [(1, "a"), (2, "a"), (3, "b")]))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    plan = buf.getvalue()
+    assert plan.count("BatchScan warc") >= 2 and "Filter" not in plan.replace("PushedFilters", "").split("BatchScan")[0]
+    assert sorted((r["page_id"], r["refers_to"]) for r in df.collect()) == [(1, None), (2, 1), (3, None)]
 
 
 # --- fingerprints ------------------------------------------------------------------------
@@ -125,6 +151,16 @@ def test_anchors_are_closed_syncmers():
     assert again.tolist() == h.tolist() and places.tolist() == at.tolist()
 
 
+def test_a_passage_in_common_shows_in_long_texts(docs):
+    rng = random.Random(40)
+    passage = prose(rng, 50)
+    a, b = (f"{prose(rng, 20_000)} {passage} {prose(rng, 3_000)}" for _ in range(2))
+    got = {r["doc_id"]: r for r in syncmers.with_next(docs([(1, a), (2, b), (3, prose(rng, 20_000))])).collect()}
+    assert got[1]["near_next"] > 0.0005 and len(got[1]["fingerprint"]) > 16 * 64 * 20
+    # the share in common is estimated to a few hundredths: half of the text was replaced
+    assert abs(got[1]["near_edited"] - 0.5) < 0.05
+
+
 def test_likeness(docs):
     a, b = (syncmers.sketch(prose(random.Random(i), 300)) for i in (1, 2))
     assert syncmers.likeness(a, a) == 1.0 and syncmers.likeness(a, b) < 0.1
@@ -222,18 +258,22 @@ def test_followers_stand_behind_their_seed(docs):
 
 
 
-def test_words_and_their_punctuation_are_encoded_apart(docs):
+def test_batched_merges_give_the_librarys_ids():
     rng = random.Random(23)
-    bits = ["a", "Zb", "é", "É", "ß", "ñ", "don't", "DON'T", "'s", "'", "x's", "9", "1,5", "—", "…", "e\u0301", "ﬁ", "漢", ".", ",", "!?", "(", ")", "<|", "|>", "<|endoftext|>", "×", "÷", "…."]
-    texts = ["".join(rng.choice(bits) + rng.choice(["", "", " ", "\n", "\u00a0"]) for _ in range(40)) for _ in range(400)]
-    with open(WORD_BPE, encoding="utf-8") as f:
-        encode = packing.Encoder(f.read())
-    assert encode.fold and encode.tails
+    bits = ["a", "Zb", "é", "É", "ß", "ñ", "don't", "DON'T", "'s", "'", "x's", "9", "1,5", "—", "…", "e\u0301", "ﬁ", "漢", ".", ",", "!?", "(", ")", "<|", "|>", "<|endoftext|>", "×", "÷", "….", " ", "\n",
+            "\u00a0", "\x01", "İ", "ÀÞ", "l'été", "a" * 50, "b" * 39 + ".", "the", "ration", "Thing"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(0, 30))) for _ in range(2000)] + ["", None, "one " * 5000]
     plain = Tokenizer.from_file(WORD_BPE)
-    for lo in (0, 200):
-        for t, got in zip(texts[lo : lo + 200], encode([t.encode() for t in texts[lo : lo + 200]]), strict=True):
-            assert np.frombuffer(got, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
-    assert b"a" in encode.young and b"a," not in encode.young
+    with open(WORD_BPE, encoding="utf-8") as f:
+        content = f.read()
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    column = pa.array(texts)
+    assert isinstance(packing.encoder(content), word_bpe.WordBpe)
+    assert [x.tolist() for x in packing.encoder(content).texts(column)] == want
+    assert [x.tolist() for x in packing.encoder(content).texts(column.slice(3, 40))] == want[3:43]
+    assert [x.tolist() for x in packing.Encoder(content).texts(pa.array([t.encode() if t else t for t in texts], pa.binary()))] == want
+    assert list(packing.encoder(content).texts(pa.array([], pa.string()))) == []
+    assert not word_bpe.understands(content.replace("Lowercase", "NFKC"))
 
 
 def test_neighbours_come_from_bm25():
@@ -264,7 +304,7 @@ def test_shards(docs):
     rng = random.Random(12)
     rows = [(i, prose(rng, rng.choice([1, 20, 200]))) for i in range(300)]
     rows += [(1000 + i, "the same text") for i in range(200)] + [(2000, None), (2001, ""), (None, "x"), (5, rows[5][1])]
-    for options in ({}, {"block_groups": 20}):
+    for options in ({}, {"range_groups": 20}):
         got = sharding.assign(docs(rows, extra="size digest n shard"), **options).collect()
         assert len(got) == len(rows)
         text = dict(rows)
@@ -277,9 +317,35 @@ def test_shards(docs):
             load[r["shard"]] += r["size"]
         assert all(sorted(s) == list(range(len(s))) for s in slots.values())
         assert max(load.values()) - min(load.values()) < 0.02 * sum(load.values()) / 8
+        # longest processing time over all groups, whatever the number of ranges
+        groups = Counter()
+        for r in got:
+            groups[(text[r["doc_id"]] or "").encode()] += r["size"]
+        want = sharding.schedule([(n, hashlib.md5(b).hexdigest()) for b, n in groups.items()], 8)
+        assert all(want[hashlib.md5(b).hexdigest()] == x for b, x in shard_of.items())
     assert sharding.assign(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("by_heap", [0, 3, 10_000])
+def test_sizes_and_counts_give_the_heaps_schedule(monkeypatch, by_heap):
+    monkeypatch.setattr(sharding, "_BY_HEAP", by_heap)
+    for seed in range(60):
+        rng = random.Random(seed)
+        shards = rng.choice([1, 2, 3, 8])
+        some = rng.choices([1, 2, 3, 5, 8, 13, 400, 401, 10_000, 10**9], k=rng.randrange(1, 90))
+        names = sorted(((n, f"{k:04d}") for k, n in enumerate(some)), key=lambda x: (-x[0], x[1]))
+        want = sharding.schedule(names, shards)
+        count = Counter(some)
+        sizes = sorted(count, reverse=True)
+        loads = sharding.loads_before(sizes, [count[n] for n in sizes], shards)
+        place = Counter()
+        for n, name in names:
+            row = sizes.index(n)
+            _, shard = sharding.levels(loads[row : row + 1], np.array([n]), np.array([place[n]]))
+            place[n] += 1
+            assert shard[0] == want[name]
+
+
 def test_longest_first():
     sizes = [(7, "a"), (7, "b"), (6, "c"), (5, "d"), (4, "e"), (1, "f")]
     got = sharding.schedule(sizes, 3)
