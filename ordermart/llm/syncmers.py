@@ -17,8 +17,8 @@ similarity J; the likeness is 2 J / (1 + J), the share in common.
 Defined cases: null counts as empty, whose fingerprint is the empty string; a
 text without an anchor has its whole text as the one anchor; two empty texts
 are alike (1), an empty and another are not (0).  In ``with_next`` rows are
-ordered by id, nulls last, ties by text; a single row is its own next; an
-empty table gives no rows; only the id and text are read.
+ordered by id, nulls last, ties by a hash of the text, then by the text; a single
+row is its own next; an empty table gives no rows; only the id and text are read.
 """
 
 from __future__ import annotations
@@ -134,14 +134,16 @@ def likeness_of(a: Column, b: Column) -> Column:
     return run(a, b)
 
 
-def _bucket(value: Column, bounds: list[int]) -> Column:
-    """How many of the sorted bounds are <= value, less one: two levels, so
-    the work a row is about twice the root of their number."""
-    step = max(1, int(len(bounds) ** 0.5))
-    lit = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
-    coarse = F.size(F.filter(lit(bounds[::step]), lambda x: x <= value)) - 1
-    fine = F.filter(F.slice(lit(bounds), coarse * step + 1, F.lit(step)), lambda x: x <= value)
-    return coarse * step + F.size(fine) - 1
+def _places(ords: np.ndarray, ties: np.ndarray, ord_: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """For each (ord, tie) the last of the sorted bounds (ords, ties) that is
+    not above it."""
+    high = np.searchsorted(ords, ord_, "right") - 1
+    low = np.searchsorted(ords, ord_, "left") - 1  # the last bound of a smaller ord
+    while (open_ := low < high).any():  # among bounds of this very ord
+        mid = (low + high + 1) // 2
+        fits = ties[mid] <= tie
+        low, high = np.where(open_ & fits, mid, low), np.where(open_ & ~fits, mid - 1, high)
+    return low
 
 
 def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,25 +182,36 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """Fingerprints of each text and of the text whose last half is replaced
     by the start of the next document.
 
-    One shuffle: buckets are ranges of ids between quantiles that are ids
-    themselves, and the first row of a bucket also goes to the bucket before.
+    One shuffle of the texts.  Buckets are ranges of (id, hash of the text), so
+    also the rows of one id, or without one, are dealt to many; they are taken
+    from a range partitioning of these keys alone, and each begins at a row that
+    is there.  That first row also goes to the bucket before.
     """
+    spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("ord", F.coalesce("id", F.lit((1 << 63) - 1)))
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = base.agg(F.min("ord"), F.percentile_approx("ord", [i / parts for i in range(1, parts)], 20 * parts)).first()
-    bounds = sorted({x for x in [found[0], *(found[1] or [])] if x is not None}) or [0]
-    at = _bucket(F.col("ord"), bounds)
-    last = len(bounds) - 1
-    places = base.withColumn("at", at.cast("int"))
-    starts = F.element_at(F.array(*[F.lit(x).cast("long") for x in bounds]), F.col("at") + 1) == F.col("ord")
-    # (bucket, late): the lowest id of all ends the last bucket
+    base = base.withColumns({"ord": F.coalesce("id", F.lit((1 << 63) - 1)), "tie": F.xxhash64("text")})
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = base.select("ord", "tie").repartitionByRange(parts, "ord", "tie").groupBy(F.spark_partition_id()).agg(F.min(F.struct("ord", "tie")).alias("first"))
+    first = ranges.select("first.ord", "first.tie").toArrow().sort_by([("ord", "ascending"), ("tie", "ascending")])
+    bounds = spark.sparkContext.broadcast((first.column("ord").to_numpy(), first.column("tie").to_numpy()))  # 16 bytes a bucket
+
+    @F.pandas_udf("long")
+    def place(ord_: pd.Series, tie: pd.Series) -> pd.Series:
+        """Twice the bucket, and one for a row that begins it."""
+        ords, ties = bounds.value
+        at = _places(ords, ties, ord_.to_numpy(), tie.to_numpy())
+        return pd.Series(2 * at + ((ords[at] == ord_.to_numpy()) & (ties[at] == tie.to_numpy())))
+
+    last = max(0, first.num_rows - 1)
+    places = base.withColumn("place", place("ord", "tie")).withColumns({"at": (F.col("place") / 2).cast("int"), "starts": F.col("place") % 2 == 1})
+    # (bucket, late): the lowest row of all ends the last bucket
     before = F.when(F.col("at") > 0, F.struct((F.col("at") - 1).alias("b"), F.lit(0).alias("late"), F.lit(False).alias("own"))).otherwise(
         F.struct(F.lit(last).alias("b"), F.lit(1).alias("late"), F.lit(False).alias("own"))
     )
     here = F.struct(F.col("at").alias("b"), F.lit(0).alias("late"), F.lit(True).alias("own"))
-    rows = places.withColumn("p", F.explode(F.when(starts, F.array(here, before)).otherwise(F.array(here))))
-    rows = rows.select(F.col("p.b").alias("b"), F.col("p.own").alias("own"), "id", "text", F.col("p.late").alias("late"), "ord")
-    rows = rows.repartition(max(1, parts // 4), "b").sortWithinPartitions("b", "late", "ord", F.desc("own"), "text").select("b", "own", "id", "text")
+    rows = places.withColumn("p", F.explode(F.when(F.col("starts"), F.array(here, before)).otherwise(F.array(here))))
+    rows = rows.select(F.col("p.b").alias("b"), F.col("p.own").alias("own"), "id", "text", F.col("p.late").alias("late"), "ord", "tie")
+    order = ["b", "late", "ord", "tie", F.desc("own"), "text"]
+    rows = rows.repartition(max(1, parts // 4), "b").sortWithinPartitions(*order).select("b", "own", "id", "text")
     schema = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return rows.mapInArrow(_paired, schema).withColumnRenamed("id", id_col)
