@@ -3,18 +3,21 @@
 Pieces and scores come from a SentencePiece model file.  A text is normalised
 as that model says (dummy prefix, spaces to U+2581).
 
+Segmentations are found from left to right by a streaming Viterbi search.  Only
+a window of about the longest piece's length is live: whenever the backpointers
+of all live positions pass one boundary, the pieces before it are final and are
+given out at once, so memory does not grow with the text.
+
+For a unigram model the best last piece at a position is the one of highest
+total score; a character no piece covers costs the lowest score less 10 and is
+given as byte pieces (``StreamingViterbi``).
+
 The scores of a BPE model are merge ranks, no log probabilities: its ids are
 those of its merges, the best-ranked pair of neighbours first and of equal ones
-the leftmost (``MergeCodec``).  Merges never cross two characters that no piece
-holds side by side, so the window is the run of characters between two such
-places, within a word.
-
-For a unigram model the best segmentation, the one of highest total score, is
-found from left to right by a streaming Viterbi search (``Codec``).  Only a window of
-the longest piece's length is live: whenever the backpointers of all live
-positions pass one boundary, the pieces before it are final and are given out
-at once, so memory does not grow with the text.  A character no piece covers
-costs the lowest score less 10 and is given as byte pieces.
+the leftmost.  Pieces are such a segmentation exactly if the merges of every two
+neighbours, taken alone, leave the two apart; so a piece may follow another only
+then, each position has one surviving last piece, and the search gives the ids of
+the merges (``MergeViterbi``).
 
 No piece crosses from a word to the next (checked when the model is read), so
 every word border is such a boundary; segmentations of short words are
@@ -22,12 +25,12 @@ remembered.  Ties go to the earlier boundary (the longer last piece).
 
 Defined cases: null and empty texts have no ids; repeated rows get equal rows;
 other columns are not read; an empty table gives no rows.  Texts are encoded
-as they are; decoding gives the normalised text back, byte for byte.
+as they are; decoding gives the normalised text back, byte for byte, with a space
+for each U+2581, so ``round_trip`` is false for a text that holds one itself.
 """
 
 from __future__ import annotations
 
-import heapq
 import itertools
 import zlib
 from collections.abc import Iterator
@@ -42,6 +45,8 @@ _UNKNOWN_COST = 10.0
 #: Live boundaries are compared every so many characters.
 _STRIDE = 64
 CACHE_WORDS = 200_000
+#: Pairs of pieces of which it is known whether they follow each other.
+PAIRS = 500_000
 _CACHE_CHARS = 32
 #: Characters held while a word border is looked for.
 _CHUNK = 1 << 16
@@ -141,6 +146,73 @@ class StreamingViterbi:
         self.start()
 
 
+def merged(run: str, scores: dict[str, tuple[float, int]]) -> list[str]:
+    """The pieces that merges leave: the best-ranked pair first, the leftmost
+    of equal ones."""
+    get, none = scores.get, (-np.inf, -1)
+    parts = list(run)
+    pairs = [get(a + b, none)[0] for a, b in itertools.pairwise(parts)]
+    while pairs:
+        top = max(pairs)
+        if top == none[0]:
+            break
+        i = pairs.index(top)
+        parts[i] += parts.pop(i + 1)
+        del pairs[i]
+        if i:
+            pairs[i - 1] = get(parts[i - 1] + parts[i], none)[0]
+        if i < len(pairs):
+            pairs[i] = get(parts[i] + parts[i + 1], none)[0]
+    return parts
+
+
+class MergeViterbi(StreamingViterbi):
+    """The search for a BPE model: the last piece of each prefix."""
+
+    def __init__(self, model: Model):
+        self.apart: dict[tuple[str, str], bool] = {}
+        super().__init__(model)
+
+    def start(self) -> None:
+        super().start()
+        self.last = ""  # the piece before the window
+
+    def _follows(self, a: str, b: str) -> bool:
+        """Whether merges leave the pieces ``a`` and ``b`` apart."""
+        got = self.apart.get((a, b))
+        if got is None:
+            if len(self.apart) >= PAIRS:
+                self.apart.clear()
+            got = self.apart[a, b] = merged(a + b, self.model.scores) == [a, b]
+        return got
+
+    def feed(self, chars: str) -> Iterator[int]:
+        scores, longest, known, follows = self.model.scores, self.model.longest, self.apart.get, self._follows
+        for c in chars:
+            self.text += c
+            text, back = self.text, self.back
+            j = len(text)
+            for i in range(max(0, j - longest), j):
+                piece = text[i:j]
+                if piece in scores or i == j - 1:
+                    before = text[back[i] : i] if i else self.last
+                    if not before or known((before, piece)) or follows(before, piece):
+                        back.append(i)
+                        break
+            if j % _STRIDE == 0:
+                yield from self._commit()
+            self.widest = max(self.widest, len(self.text))
+
+    def _commit(self) -> Iterator[int]:
+        j = len(self.text)
+        common = set.intersection(*(set(self._path(end)) for end in range(max(0, j - self.model.longest + 1), j + 1)))
+        at = max(common)
+        if at:
+            yield from self._ids(at)
+            self.last = self.text[self.back[at] : at]
+            self.text, self.back = self.text[at:], [0, *(max(0, b - at) for b in self.back[at + 1 :])]
+
+
 def normalise(text: str) -> str:
     """Dummy prefix, and spaces as U+2581."""
     return SPACE + text.replace(" ", SPACE) if text else ""
@@ -151,6 +223,25 @@ class Codec:
         self.model = Model(path)
         self.search = StreamingViterbi(self.model)
         self.known: dict[str, list[int]] = {}
+        self.raw: dict[str, bytes] = {}  # of a word without its space, little-endian
+        self.old: dict[str, bytes] = {}  # the generation before
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a whole text as little-endian unsigned 32-bit numbers."""
+        if not self.model.by_word or SPACE in text or "  " in text or not text or " " in (text[0], text[-1]):
+            return np.fromiter(itertools.chain.from_iterable(self.encode(text)), "<u4").tobytes()
+        words, raw, old = text.split(" "), self.raw, self.old
+        missing = set(words).difference(raw)
+        for w in missing:
+            got = old.get(w)
+            raw[w] = got if got is not None else np.array(self._segment(SPACE + w), "<u4").tobytes()
+        out = b"".join(map(raw.__getitem__, words))
+        for w in missing:
+            if len(w) > _CACHE_CHARS:
+                del raw[w]
+        if len(raw) > CACHE_WORDS:  # common words move on, others are forgotten
+            self.raw, self.old = {}, raw
+        return out
 
     def _segment(self, word: str) -> list[int]:
         return [*self.search.feed(word), *self.search.close()]
@@ -196,67 +287,11 @@ class Codec:
 
 
 class MergeCodec(Codec):
-    """Ids by the merges of a BPE model."""
+    """Ids of a BPE model, those of its merges."""
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.bridged = {p[i : i + 2] for p in self.model.scores for i in range(len(p) - 1)}
-
-    def _segment(self, word: str) -> list[int]:
-        if len(word) <= _CACHE_CHARS:
-            return self._short(word)
-        cuts = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.bridged), len(word)]
-        return [i for a, b in itertools.pairwise(cuts) for i in self._merged(word[a:b])]
-
-    def _short(self, run: str) -> list[int]:
-        """As ``_merged``: the best pair is looked for among all."""
-        get, none = self.model.scores.get, (-np.inf, -1)
-        parts = list(run)
-        pairs = [get(a + b, none)[0] for a, b in itertools.pairwise(parts)]
-        while pairs:
-            top = max(pairs)
-            if top == none[0]:
-                break
-            i = pairs.index(top)
-            parts[i] += parts.pop(i + 1)
-            del pairs[i]
-            if i:
-                pairs[i - 1] = get(parts[i - 1] + parts[i], none)[0]
-            if i < len(pairs):
-                pairs[i] = get(parts[i] + parts[i + 1], none)[0]
-        return [k for p in parts for k in self.model.ids_of(p)]
-
-    def _merged(self, run: str) -> list[int]:
-        scores, parts, n = self.model.scores, list(run), len(run)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pairs: list[tuple[float, int, int, int]] = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and after[i] < n:
-                piece = parts[i] + parts[after[i]]
-                got = scores.get(piece)
-                if got is not None:
-                    heapq.heappush(pairs, (-got[0], i, after[i], len(piece)))
-
-        for i in range(n - 1):
-            offer(i)
-        while pairs:
-            _, i, j, size = heapq.heappop(pairs)
-            if not parts[i] or not parts[j] or len(parts[i]) + len(parts[j]) != size:
-                continue  # one of the two was merged meanwhile
-            parts[i], parts[j] = parts[i] + parts[j], ""
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            offer(before[i])
-            offer(i)
-        return [k for p in parts if p for k in self.model.ids_of(p)]
-
-    def encode(self, text: str | None) -> Iterator[list[int]]:
-        if self.model.by_word:
-            yield from super().encode(text)
-        else:
-            yield self._segment(normalise(text or ""))
+        self.search = MergeViterbi(self.model)
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -336,8 +371,8 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
             rows = []
             for text in batch.column(1).to_pylist():
                 text = text or ""
-                ids = [*itertools.chain.from_iterable(own.encode(text))]
-                rows.append((len(ids), len(text), zlib.crc32(np.array(ids, "<u4").tobytes()), own.decode(ids) == text))
+                raw = own.packed(text)
+                rows.append((len(raw) // 4, len(text), zlib.crc32(raw), own.decode(np.frombuffer(raw, "<u4").tolist()) == text))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], ["id", "n_tokens", "n_chars", "ids_crc32", "round_trip"]

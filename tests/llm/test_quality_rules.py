@@ -80,6 +80,17 @@ def test_distance_by_hand(docs):
     assert abs(rows[1]["char_js"] - want) < 1e-9 and abs(rows[2]["char_js"] - want) < 1e-9
 
 
+def test_word_distance_by_hand(docs):
+    """The two commonest words and the rest: 1/2, 1/4, 1/4 and 1/4, 1/2, 1/4
+    against their mean 3/8, 3/8, 1/4."""
+    import math
+
+    rows = divergence(docs([(1, "a a b c " * 50), (2, "a b b d " * 50)]), common=2, min_words=1, min_chars=1).collect()
+    half = lambda x, m: x * math.log2(x / m) / 2
+    want = math.sqrt(sum(half(p, (p + q) / 2) + half(q, (p + q) / 2) for p, q in ((1 / 2, 3 / 8), (1 / 4, 3 / 8), (1 / 4, 1 / 4))))
+    assert all(abs(r["word_js"] - want) < 1e-9 for r in rows) and len(rows) == 2
+
+
 def test_empty_table_and_columns(docs):
     df = docs([], extra="hist")
     assert divergence(df).count() == 0 and keep_good(df).columns == df.columns

@@ -461,6 +461,30 @@ def test_ids_are_those_of_the_library(docs):
     assert got == {i: library.encode(t) for i, t in enumerate(texts)}
 
 
+def test_streamed_merges_have_a_bounded_window(docs):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    model = sentencepiece_codec.Model(PIECE_BPE)
+    rng = random.Random(19)
+    for text in ("thetioninganduber" * 900, "".join(rng.choices("etaoinshr漢", k=20_000)), "a" * 5_000, "".join(rng.choices(["ation", "en", "der", "x", "é"], k=6_000))):
+        search = sentencepiece_codec.MergeViterbi(model)
+        whole = "▁" + text
+        ids = []
+        for lo in range(0, len(whole), 777):
+            ids += search.feed(whole[lo : lo + 777])
+        ids += search.close()
+        assert ids == library.encode(text)
+        assert search.widest < sentencepiece_codec._STRIDE + 20 * model.longest
+    codec = sentencepiece_codec.codec(PIECE_BPE)
+    for text in ("one two", " lead", "trail ", "two  gaps", "", "ends\n", "mixed " * 50):
+        assert np.frombuffer(codec.packed(text), "<u4").tolist() == library.encode(text)
+    got = {r["doc_id"]: r for r in sentencepiece_codec.round_trip(docs([(1, "a\u2581b"), (2, "a b"), (3, None)]), PIECE_BPE).collect()}
+    assert [got[k]["round_trip"] for k in (1, 2, 3)] == [False, True, True]
+    assert got[1]["ids_crc32"] == got[2]["ids_crc32"]
+    assert sentencepiece_codec.round_trip(docs([]), PIECE_BPE).count() == 0
+
+
 def test_codec_frames(docs):
     rows = [(1, "one two"), (2, None), (None, "trois ñ"), (1, "one two")]
     ids = sentencepiece_codec.encode(docs(rows, extra="ids"), PIECE_BPE)
