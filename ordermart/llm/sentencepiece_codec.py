@@ -31,12 +31,14 @@ for each U+2581, so ``round_trip`` is false for a text that holds one itself.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,8 @@ SPACE = "▁"
 _UNKNOWN_COST = 10.0
 #: Live boundaries are compared every so many characters.
 _STRIDE = 64
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Pairs of pieces of which it is known whether they follow each other.
 PAIRS = 500_000
 _CACHE_CHARS = 32
@@ -52,11 +55,19 @@ _CACHE_CHARS = 32
 _CHUNK = 1 << 16
 
 
+def content_of(model: str | bytes) -> bytes:
+    """A model file's content, given that or its path."""
+    if isinstance(model, bytes):
+        return model
+    with open(model, "rb") as f:
+        return f.read()
+
+
 class Model:
-    def __init__(self, path: str):
+    def __init__(self, model: str | bytes):
         import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        sp = sentencepiece.SentencePieceProcessor(model_proto=content_of(model))
         n = sp.get_piece_size()
         self.pieces = [sp.id_to_piece(i) for i in range(n)]
         self.byte = {}
@@ -196,13 +207,34 @@ class MergeViterbi(StreamingViterbi):
                 piece = text[i:j]
                 if piece in scores or i == j - 1:
                     before = text[back[i] : i] if i else self.last
-                    if not before or known((before, piece)) or follows(before, piece):
+                    free = not before or known((before, piece))
+                    if free or free is None and follows(before, piece):
                         back.append(i)
                         break
             if j % _STRIDE == 0:
                 yield from self._commit()
             self.widest = max(self.widest, len(self.text))
 
+    def short(self, word: str) -> list[int]:
+        """The ids of a word within which nothing would be given out: the same
+        search, without the window."""
+        scores, longest, known, follows = self.model.scores, self.model.longest, self.apart.get, self._follows
+        back, last = [0], [""]
+        for j in range(1, len(word) + 1):
+            for i in range(j - longest if j > longest else 0, j):
+                piece = word[i:j]
+                if piece in scores or i == j - 1:
+                    free = not i or known((last[i], piece))
+                    if free or free is None and follows(last[i], piece):
+                        back.append(i)
+                        last.append(piece)
+                        break
+        pieces, j = [], len(word)
+        while j:
+            pieces.append(last[j])
+            j = back[j]
+        return [k for p in reversed(pieces) for k in self.model.ids_of(p)]
+
     def _commit(self) -> Iterator[int]:
         j = len(self.text)
         common = set.intersection(*(set(self._path(end)) for end in range(max(0, j - self.model.longest + 1), j + 1)))
@@ -219,30 +251,51 @@ def normalise(text: str) -> str:
 
 
 class Codec:
-    def __init__(self, path: str):
-        self.model = Model(path)
+    def __init__(self, model: str | bytes):
+        self.model = Model(model)
         self.search = StreamingViterbi(self.model)
         self.known: dict[str, list[int]] = {}
         self.raw: dict[str, bytes] = {}  # of a word without its space, little-endian
         self.old: dict[str, bytes] = {}  # the generation before
+        self.marks: dict[str, bytes] = {}
+        self.bridged: set[str] | None = None  # characters that some piece holds side by side
 
     def packed(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit numbers."""
         if not self.model.by_word or SPACE in text or "  " in text or not text or " " in (text[0], text[-1]):
             return np.fromiter(itertools.chain.from_iterable(self.encode(text)), "<u4").tobytes()
-        words, raw, old = text.split(" "), self.raw, self.old
+        words, raw = text.split(" "), self.raw
         missing = set(words).difference(raw)
-        for w in missing:
-            got = old.get(w)
-            raw[w] = got if got is not None else np.array(self._segment(SPACE + w), "<u4").tobytes()
+        brief = [w for w in missing if self._learn(w)]
         out = b"".join(map(raw.__getitem__, words))
-        for w in missing:
-            if len(w) > _CACHE_CHARS:
-                del raw[w]
+        for w in brief:
+            del raw[w]
         if len(raw) > CACHE_WORDS:  # common words move on, others are forgotten
             self.raw, self.old = {}, raw
         return out
 
+    def _learn(self, w: str) -> bool:
+        """Put the ids of a word into ``raw``; whether they are not to stay:
+        those of long words, and of words whose last marks no piece joins to the
+        letters before, which are found again by their two parts."""
+        raw, old = self.raw, self.old
+        core = w.rstrip(_MARKS)
+        n = len(core)
+        if 0 < n < len(w) and n <= _CACHE_CHARS and self.bridged is not None and core[-1] + w[n] not in self.bridged:
+            if core not in raw:
+                got = old.get(core)
+                raw[core] = got if got is not None else np.array(self._segment(SPACE + core), "<u4").tobytes()
+            marks = w[n:]
+            if marks not in self.marks:
+                if len(self.marks) > 10_000:
+                    self.marks.clear()
+                self.marks[marks] = np.array(self._segment(marks), "<u4").tobytes()
+            raw[w] = raw[core] + self.marks[marks]
+            return True
+        got = old.get(w)
+        raw[w] = got if got is not None else np.array(self._segment(SPACE + w), "<u4").tobytes()
+        return len(w) > _CACHE_CHARS
+
     def _segment(self, word: str) -> list[int]:
         return [*self.search.feed(word), *self.search.close()]
 
@@ -289,9 +342,13 @@ class Codec:
 class MergeCodec(Codec):
     """Ids of a BPE model, those of its merges."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def __init__(self, model: str | bytes):
+        super().__init__(model)
         self.search = MergeViterbi(self.model)
+        self.bridged = {p[i : i + 2] for p in self.model.scores for i in range(len(p) - 1)}
+
+    def _segment(self, word: str) -> list[int]:
+        return self.search.short(word) if len(word) < _STRIDE else super()._segment(word)
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -320,26 +377,34 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
-def is_bpe(path: str) -> bool:
+def is_bpe(model: bytes) -> bool:
     """Whether trainer_spec.model_type (field 2, its field 3) is BPE."""
-    with open(path, "rb") as f:
-        return any(v == 2 for k, spec in _fields(f.read()) if k == 2 for n, v in _fields(spec) if n == 3)
+    return any(v == 2 for k, spec in _fields(model) if k == 2 for n, v in _fields(spec) if n == 3)
 
 
 _CODECS: dict[str, Codec] = {}
 
 
-def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = (MergeCodec if is_bpe(path) else Codec)(path)
-    return _CODECS[path]
+def codec(model: str | bytes) -> Codec:
+    """The codec of a model, made once a process."""
+    content = content_of(model)
+    key = hashlib.md5(content, usedforsecurity=False).hexdigest()
+    if key not in _CODECS:
+        _CODECS[key] = (MergeCodec if is_bpe(content) else Codec)(content)
+    return _CODECS[key]
+
+
+def _sent(frame: DataFrame, model: str) -> Broadcast:
+    """The driver's model file, for the tasks."""
+    return frame.sparkSession.sparkContext.broadcast(content_of(model))
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids) for each row."""
+    sent = _sent(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model)
+        own = codec(sent.value)
         for batch in batches:
             ids = [[i for word in own.encode(t) for i in word] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
@@ -350,9 +415,10 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
 def decode(tokens: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, text) for each row."""
+    sent = _sent(tokens, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model)
+        own = codec(sent.value)
         for batch in batches:
             text = [own.decode(x or []) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string())], ["id", "text"])
@@ -364,9 +430,10 @@ def decode(tokens: DataFrame, model: str, id_col: str = "doc_id", ids_col: str =
 def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_chars, ids_crc32, round_trip): ids of the whole text as
     a digest, and whether decoding them gives the text back."""
+    sent = _sent(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model)
+        own = codec(sent.value)
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
