@@ -47,7 +47,7 @@ def margin_pct(unit_price: Column, cost: Column) -> Column:
     p = unit_price.cast("double")
     share = F.try_divide(p - F.coalesce(cost.cast("double"), F.lit(0.0)), p) * F.lit(100.0)
     # 15 significant digits, as a database prints a double that becomes numeric
-    exact = F.format_string("%.12f", share).try_cast("decimal(38,12)")
+    exact = F.format_string("%.15g", share).try_cast("decimal(38,12)")
     return F.when(p > 0, F.round(exact, 2)).try_cast(MARGIN)
 
 
