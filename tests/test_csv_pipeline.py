@@ -208,3 +208,21 @@ def test_an_accepted_order_loaded_by_a_batch_counts_once(spark, tmp_path):
     log.write.parquet(str(tmp_path / "log"))
     live = live_fact_orders(wh, spark.read.schema(log.schema).parquet(str(tmp_path / "log")))
     assert sorted(r["order_id"] for r in live.collect()) == ["N1", "O1", "O4"]
+
+
+def test_windows_of_a_large_split_hold_one_chunk(spark, tmp_path, monkeypatch):
+    """Records over chunk ends, some over whole chunks: the same as one group a split."""
+    import csv
+
+    from ordermart.schemas import PRODUCTS_RAW
+    from ordermart.sources import csv_records
+    from ordermart.sources.files import CSV_SEQ, read_csv_raw
+
+    monkeypatch.setattr(csv_records, "CHUNK_BITS", 2)
+    body = "".join(f'S{i},"a{chr(10) * (i % 11)}""b",{i},True\n' if i % 3 else f"S{i},plain,{i},False\n" for i in range(90))
+    path = _write(tmp_path, "products.csv", "sku,category,cost,active\n" + body)
+    want = [tuple(r) for r in list(csv.reader(open(path, encoding="utf-8", newline="")))[1:]]
+    got = [tuple(r)[:4] for r in read_csv_raw(spark, path, PRODUCTS_RAW).orderBy(*CSV_SEQ).collect()]
+    assert got == want
+    lines = csv_records.land_lines(spark, path, [])
+    assert csv_records._open_chunks(lines).select("chunk").distinct().count() > 10
