@@ -1,7 +1,7 @@
 """Quality classifier: interpolated modified Kneser-Ney over characters.
 
-1. Trusted text: labelled documents of quality 1 (a bounded sample of rows by
-   hash of the id, as a classifier may be fitted on).
+1. Trusted text: all labelled documents of quality 1 (``trusted_rows``: at most
+   so many of them, by hash of the id).
 2. Its character n-grams up to ``ORDER`` are counted in partial sums and a
    shuffle.  Continuation counts, discounts by counts of counts, context totals
    and the interpolation with the next lower order are joins of these count
@@ -10,8 +10,8 @@
    whole text.  If the model has more, a character whose longest n-gram is not
    among them is left open; the open n-grams (distinct in a text, with their
    times) meet the whole model in shuffle joins, so nothing is pruned.
-4. Thresholds are quantiles by language over all documents of quality 1, those
-   outside the sample of step 1 where there are ``LEAST_TRUSTED`` of them: the
+4. Thresholds are quantiles by language over all documents of quality 1 (those
+   that ``trusted_rows`` left out, where there are ``LEAST_TRUSTED`` of them): the
    median of the log perplexity and ``SPREAD`` times the way from there to the
    ``QUANTILE``; a short text gets room for its noise.
 
@@ -37,7 +37,6 @@ from . import textops as T
 from .common import cut, lookup
 
 ORDER = 4
-TRUSTED_ROWS = 50_000
 MODEL_NGRAMS = 1 << 20
 _CHARS = 1 << 20  # characters scored at a time
 QUANTILE, SPREAD = 0.99, 2.0
@@ -190,15 +189,14 @@ def resolved(model: DataFrame, grams: DataFrame, floor: float, k: int = ORDER) -
 
 
 def perplexity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-               trusted_rows: int = TRUSTED_ROWS, quantile: float = QUANTILE, spread: float = SPREAD, model_ngrams: int = MODEL_NGRAMS) -> DataFrame:
+               trusted_rows: int | None = None, quantile: float = QUANTILE, spread: float = SPREAD, model_ngrams: int = MODEL_NGRAMS) -> DataFrame:
     """(id, lang, n_chars, log_perplexity, threshold, kept) for each row."""
     sc = docs.sparkSession.sparkContext
     good = cut(labels.where(F.col("quality") == 1).select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct(), "good")
-    marked = good.orderBy(F.xxhash64("id"), "id").limit(trusted_rows).withColumn("trusted", F.lit(True))
-    marked = cut(marked, "trusted")  # at most trusted_rows ids
+    marked = good if trusted_rows is None else cut(good.orderBy(F.xxhash64("id"), "id").limit(trusted_rows), "trusted")
+    marked = marked.withColumn("trusted", F.lit(True))
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    base = base.join(F.broadcast(marked), "id", "left")
-    model = cut(train(base.where("trusted").select("text")), "model")
+    model = cut(train(base.join(marked, "id", "left_semi").select("text")), "model")
     n_grams, kinds, lg0 = model.agg(F.count("*"), F.count_if((F.col("n") == 1) & F.col("lp").isNotNull()), F.max(F.when(F.col("n") == 0, F.col("lg")))).first()
     # a character never seen: what the empty context leaves, over the kinds and one more
     floor = (lg0 or 0.0) - math.log(kinds + 1)
@@ -224,26 +222,26 @@ def perplexity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                     lo, chars = hi, 0
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(range(row, row + len(texts)), pa.int64()), batch.column(0), batch.column(1), batch.column(3), pa.array(ends, pa.int64()), pa.array(total, pa.float64()),
+                    pa.array(range(row, row + len(texts)), pa.int64()), batch.column(0), batch.column(1), pa.array(ends, pa.int64()), pa.array(total, pa.float64()),
                     pa.array([[g for g, _ in x] for x in rest], pa.list_(pa.string())), pa.array([[t for _, t in x] for x in rest], pa.list_(pa.int64())),
                 ],
-                ["row", "id", "lang", "trusted", "ends", "total", "grams", "times"],
+                ["row", "id", "lang", "ends", "total", "grams", "times"],
             )
             row += len(texts)
 
-    schema = "row long, id long, lang string, trusted boolean, ends long, total double, grams array<string>, times array<long>"
-    rated = cut(base.select("id", "lang", "text", "trusted").mapInArrow(run, schema), "perplexity")
+    schema = "row long, id long, lang string, ends long, total double, grams array<string>, times array<long>"
+    rated = cut(base.select("id", "lang", "text").mapInArrow(run, schema), "perplexity")
     if n_grams > model_ngrams:
         uses = cut(rated.select("row", F.explode(F.arrays_zip("grams", "times")).alias("e")).select("row", F.col("e.grams").alias("g"), F.col("e.times").alias("times")), "open-grams")
         grams = cut(uses.groupBy("g").agg(F.count("*").alias("rows")), "grams")
         known = resolved(model, grams.select("g"), floor).join(grams, "g")
         more = lookup(uses, known, "g", "rows", uses.count()).groupBy("row").agg(F.sum(F.col("times") * F.col("lp")).alias("more"))
         rated = rated.join(more, "row", "left").withColumn("total", F.col("total") + F.coalesce("more", F.lit(0.0)))
-    rated = rated.select("id", "lang", "trusted", (F.col("ends") - 1).alias("n_chars"), (-F.col("total") / F.col("ends")).alias("log_perplexity"))
+    rated = rated.select("id", "lang", (F.col("ends") - 1).alias("n_chars"), (-F.col("total") / F.col("ends")).alias("log_perplexity"))
     if n_grams > model_ngrams:
         rated = cut(rated, "whole-perplexity")
     # scores of all documents of quality 1, without their texts
-    sure = rated.where(F.col("n_chars") >= MIN_CHARS).join(good, "id").withColumn("outside", F.col("trusted").isNull())
+    sure = rated.where(F.col("n_chars") >= MIN_CHARS).join(good.join(marked, "id", "left"), "id").withColumn("outside", F.col("trusted").isNull())
     at = lambda x, q: F.percentile_approx(x, q, 10_000)
     bound = lambda x: at(x, 0.5) * (1 - spread) + at(x, quantile) * spread
     unseen, whole = bound(F.when(F.col("outside"), F.col("log_perplexity"))), bound(F.col("log_perplexity"))

@@ -492,3 +492,16 @@ def test_codec_frames(docs):
     assert Counter((r["doc_id"], r["text"]) for r in back) == Counter((i, t or "") for i, t in rows)
     assert all(r["round_trip"] for r in sentencepiece_codec.round_trip(docs(rows), PIECE_BPE).collect())
     assert sentencepiece_codec.encode(docs([]), PIECE_BPE).count() == 0
+
+
+def test_the_quality_model_counts_every_trusted_text(docs, llm, monkeypatch):
+    """No bound on the rows that the query's model is fitted on."""
+    import inspect
+
+    assert inspect.signature(kneser_ney.perplexity).parameters["trusted_rows"].default is None
+    seen = []
+    train = kneser_ney.train
+    monkeypatch.setattr(kneser_ney, "train", lambda texts: (seen.append(texts.count()), train(texts))[1])
+    rows = [(i, f"text {i}") for i in range(70)]
+    labels = llm.createDataFrame([(i, int(i < 60), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    assert kneser_ney.perplexity(docs(rows), labels).count() == 70 and seen == [60]
