@@ -88,3 +88,19 @@ def test_split_path_equals_default_on_test_tables(spark):
     a = sorted(map(tuple, base.collect()), key=str)
     b = sorted(map(tuple, split.collect()), key=str)
     assert a == b and sum(r[7] for r in a) == 1416
+
+
+def test_rows_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    """No plan for hot keys where there are none, and as many tasks as the rows
+    need, however few shuffle partitions are set."""
+    from ordermart import session
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 20)
+    df = _fixture(spark)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out = flag_repeats(df, "k", ["rank", "s", "id"], "dup")
+        out.explain()
+    assert "REPARTITION_BY_NUM" in buf.getvalue() and "Join" not in buf.getvalue()
+    assert out.rdd.getNumPartitions() >= df.count() // 20
+    assert {r["id"]: r["dup"] for r in out.collect()} == _brute(df)
