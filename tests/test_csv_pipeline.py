@@ -226,3 +226,17 @@ def test_windows_of_a_large_split_hold_one_chunk(spark, tmp_path, monkeypatch):
     assert got == want
     lines = csv_records.land_lines(spark, path, [])
     assert csv_records._open_chunks(lines).select("chunk").distinct().count() > 10
+
+
+def test_written_tables_are_compressed_well(spark, tmp_path):
+    from ordermart.operators.id_index import IdStore
+    from ordermart.plans.pipeline import Warehouse
+    from ordermart.session import landed
+
+    df = spark.createDataFrame([(f"O{i}", i % 3) for i in range(50)], "order_id string, k int")
+    Warehouse(spark, str(tmp_path)).write("t", df, partition_by="k")
+    IdStore(spark, str(tmp_path / "ids")).start(df)
+    files = [*tmp_path.rglob("*.parquet")]
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+    kept = landed(df, "t")
+    assert sorted(kept.collect()) == sorted(df.collect()) and all(".zstd." in f for f in kept.inputFiles())
