@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import cut, lookup
+from .common import cut, likely_in, lookup
 
 ORDER = 4
 MODEL_NGRAMS = 1 << 20
@@ -188,6 +188,12 @@ def resolved(model: DataFrame, grams: DataFrame, floor: float, k: int = ORDER) -
     return cut_up.join(own, "g", "left").join(left, "ctx", "left").join(lower, "suffix").select("g", F.coalesce("lp", F.coalesce("lg", F.lit(0.0)) + F.col("q")).alias("lp"))
 
 
+def _trusted(base: DataFrame, marked: DataFrame) -> DataFrame:
+    """The rows of ``base`` whose id is ``marked``.  The join moves their texts
+    and few others, by the same plan at every size."""
+    return likely_in(base, "id", marked, "id").join(marked.hint("merge"), "id", "left_semi")
+
+
 def perplexity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                trusted_rows: int | None = None, quantile: float = QUANTILE, spread: float = SPREAD, model_ngrams: int = MODEL_NGRAMS) -> DataFrame:
     """(id, lang, n_chars, log_perplexity, threshold, kept) for each row."""
@@ -196,7 +202,7 @@ def perplexity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     marked = good if trusted_rows is None else cut(good.orderBy(F.xxhash64("id"), "id").limit(trusted_rows), "trusted")
     marked = marked.withColumn("trusted", F.lit(True))
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    model = cut(train(base.join(marked, "id", "left_semi").select("text")), "model")
+    model = cut(train(_trusted(base, marked).select("text")), "model")
     n_grams, kinds, lg0 = model.agg(F.count("*"), F.count_if((F.col("n") == 1) & F.col("lp").isNotNull()), F.max(F.when(F.col("n") == 0, F.col("lg")))).first()
     # a character never seen: what the empty context leaves, over the kinds and one more
     floor = (lg0 or 0.0) - math.log(kinds + 1)
