@@ -189,9 +189,9 @@ def resolved(model: DataFrame, grams: DataFrame, floor: float, k: int = ORDER) -
 
 
 def _trusted(base: DataFrame, marked: DataFrame) -> DataFrame:
-    """The rows of ``base`` whose id is ``marked``.  The join moves their texts
-    and few others, by the same plan at every size."""
-    return likely_in(base, "id", marked, "id").join(marked.hint("merge"), "id", "left_semi")
+    """The rows of ``base`` whose id is ``marked`` (distinct ids).  The join
+    moves their texts and few others, by the same plan at every size."""
+    return likely_in(base, "id", marked, "id").join(marked.select("id").hint("merge"), "id")
 
 
 def perplexity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
