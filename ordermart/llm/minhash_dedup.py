@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import textops as T
-from .common import components, cut, lookup
+from .common import components, cut, likely_in, lookup
 
 #: Rows of one inverted list that are held together in one task.
 BLOCK = 3072
@@ -391,12 +391,14 @@ def _grouped(rows: DataFrame, size: int, similarity: tuple[int, int], k: int, le
     best = Window.partitionBy("a").orderBy(F.desc("close"), "b")
     likely = first.withColumn("r", F.row_number().over(best)).where("r <= 2").select("a", "b")
 
-    texts = base.join(classes.where("named > 0 and rep = least").select(F.col("rep").alias("id")), "id", "left_semi")
+    with_id = classes.where("named > 0 and rep = least").select(F.col("rep").alias("id"))
     odd = classes.where("named = 0 or rep <> least").select("rep", "digest")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        """The full shingle sets of some representatives."""
-        own = texts.join(ids.select(F.col("rep").alias("id")), "id", "left_semi").mapInArrow(_sets(size), "rep long, set binary")
+        """The full shingle sets of some representatives (distinct)."""
+        wanted = cut(ids.select(F.col("rep").alias("id")).join(with_id, "id", "left_semi"), "wanted")
+        # the join moves texts: few besides those that are wanted
+        own = likely_in(base, "id", wanted, "id").join(wanted, "id").select("id", "text").mapInArrow(_sets(size), "rep long, set binary")
         own = own.join(classes.select("rep", "n"), "rep").where(F.length("set") == F.col("n") * 8).drop("n").groupBy("rep").agg(F.first("set").alias("set"))
         if odd.isEmpty():
             return own
