@@ -34,7 +34,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -177,11 +177,23 @@ def merged(run: str, scores: dict[str, tuple[float, int]]) -> list[str]:
     return parts
 
 
+def endings(pieces: Iterable[str]) -> tuple[dict[str, str], dict[str, str]]:
+    """For each beginning of a piece, and the empty text, the longest piece that
+    it ends with (empty: none); and for each piece the next shorter one that it
+    ends with, at least its last character."""
+    same = {p: p for p in pieces}  # one object a piece, whose hash is known
+    longest = {p[:n]: "" for p in same for n in range(len(p) + 1)}
+    for text in longest:
+        longest[text] = next((same[text[i:]] for i in range(len(text)) if text[i:] in same), "")
+    return longest, {p: next((same[p[i:]] for i in range(1, len(p)) if p[i:] in same), p[-1]) for p in same if len(p) > 1}
+
+
 class MergeViterbi(StreamingViterbi):
     """The search for a BPE model: the last piece of each prefix."""
 
     def __init__(self, model: Model):
         self.apart: dict[tuple[str, str], bool] = {}
+        self.ending, self.shorter = endings(model.scores)
         super().__init__(model)
 
     def start(self) -> None:
@@ -215,25 +227,30 @@ class MergeViterbi(StreamingViterbi):
                 yield from self._commit()
             self.widest = max(self.widest, len(self.text))
 
-    def short(self, word: str) -> list[int]:
-        """The ids of a word within which nothing would be given out: the same
-        search, without the window."""
-        scores, longest, known, follows = self.model.scores, self.model.longest, self.apart.get, self._follows
-        back, last = [0], [""]
-        for j in range(1, len(word) + 1):
-            for i in range(j - longest if j > longest else 0, j):
-                piece = word[i:j]
-                if piece in scores or i == j - 1:
-                    free = not i or known((last[i], piece))
-                    if free or free is None and follows(last[i], piece):
-                        back.append(i)
-                        last.append(piece)
-                        break
+    def short(self, word: str) -> list[str]:
+        """The pieces of a word within which nothing would be given out: the
+        same search, without the window.  Only pieces that the text so far ends
+        with are tried, the longest first."""
+        ending, shorter, known, follows = self.ending, self.shorter, self.apart.get, self._follows
+        last, held = [""], ""  # held: the longest beginning of a piece that the text ends with
+        for j, c in enumerate(word, 1):
+            held += c
+            piece = ending.get(held)
+            while piece is None:
+                held = held[1:]
+                piece = ending.get(held)
+            piece = piece or c
+            while (i := j - len(piece)) > 0:
+                free = known((last[i], piece))
+                if free or free is None and follows(last[i], piece):
+                    break
+                piece = shorter.get(piece)
+            last.append(piece)
         pieces, j = [], len(word)
         while j:
             pieces.append(last[j])
-            j = back[j]
-        return [k for p in reversed(pieces) for k in self.model.ids_of(p)]
+            j -= len(last[j])
+        return pieces[::-1]
 
     def _commit(self) -> Iterator[int]:
         j = len(self.text)
@@ -284,21 +301,24 @@ class Codec:
         if 0 < n < len(w) and n <= _CACHE_CHARS and self.bridged is not None and core[-1] + w[n] not in self.bridged:
             if core not in raw:
                 got = old.get(core)
-                raw[core] = got if got is not None else np.array(self._segment(SPACE + core), "<u4").tobytes()
+                raw[core] = got if got is not None else self._packed_word(SPACE + core)
             marks = w[n:]
             if marks not in self.marks:
                 if len(self.marks) > 10_000:
                     self.marks.clear()
-                self.marks[marks] = np.array(self._segment(marks), "<u4").tobytes()
+                self.marks[marks] = self._packed_word(marks)
             raw[w] = raw[core] + self.marks[marks]
             return True
         got = old.get(w)
-        raw[w] = got if got is not None else np.array(self._segment(SPACE + w), "<u4").tobytes()
+        raw[w] = got if got is not None else self._packed_word(SPACE + w)
         return len(w) > _CACHE_CHARS
 
     def _segment(self, word: str) -> list[int]:
         return [*self.search.feed(word), *self.search.close()]
 
+    def _packed_word(self, word: str) -> bytes:
+        return np.array(self._segment(word), "<u4").tobytes()
+
     def _word(self, word: str) -> list[int]:
         ids = self.known.get(word)
         if ids is None:
@@ -339,16 +359,35 @@ class Codec:
         return text[1:] if text[:1] == " " else text
 
 
+class _PackedIds(dict):
+    """The ids of each piece met so far, little-endian."""
+
+    def __init__(self, model: Model):
+        self.model = model
+
+    def __missing__(self, piece: str) -> bytes:
+        packed = self[piece] = np.array(self.model.ids_of(piece), "<u4").tobytes()
+        return packed
+
+
 class MergeCodec(Codec):
     """Ids of a BPE model, those of its merges."""
 
     def __init__(self, model: str | bytes):
         super().__init__(model)
         self.search = MergeViterbi(self.model)
+        self.packed_of = _PackedIds(self.model)
         self.bridged = {p[i : i + 2] for p in self.model.scores for i in range(len(p) - 1)}
 
     def _segment(self, word: str) -> list[int]:
-        return self.search.short(word) if len(word) < _STRIDE else super()._segment(word)
+        if len(word) >= _STRIDE:
+            return super()._segment(word)
+        return [i for p in self.search.short(word) for i in self.model.ids_of(p)]
+
+    def _packed_word(self, word: str) -> bytes:
+        if len(word) >= _STRIDE:
+            return super()._packed_word(word)
+        return b"".join(map(self.packed_of.__getitem__, self.search.short(word)))
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:

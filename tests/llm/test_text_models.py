@@ -485,6 +485,34 @@ def test_streamed_merges_have_a_bounded_window(docs):
     assert sentencepiece_codec.round_trip(docs([]), PIECE_BPE).count() == 0
 
 
+def test_only_pieces_that_a_word_ends_with_are_tried():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    search = sentencepiece_codec.MergeViterbi(sentencepiece_codec.Model(PIECE_BPE))
+    rng = random.Random(23)
+    words = ["▁" + "".join(rng.choices("etaoinshrdé漢", k=rng.randrange(1, 40))) for _ in range(400)]
+    asked = []
+
+    class Known(dict):
+        def get(self, pair, none=None):
+            asked.append(pair)
+            return super().get(pair, none)
+
+    search.apart = Known()
+    for w in words:
+        pieces = search.short(w)
+        assert "".join(pieces) == w
+        assert [i for p in pieces for i in search.model.ids_of(p)] == library.encode(w[1:])
+    scores = search.model.scores
+    assert all(piece in scores or len(piece) == 1 for _, piece in asked)
+    # no look at each of up to 16 texts before each character
+    assert len(asked) < 3 * sum(map(len, words))
+    longest, shorter = sentencepiece_codec.endings(["a", "ab", "b", "xab", "abc"])
+    assert longest == {"": "", "a": "a", "ab": "ab", "b": "b", "x": "", "xa": "a", "xab": "xab", "abc": "abc"}
+    assert shorter == {"ab": "b", "xab": "ab", "abc": "c"}
+
+
 def test_codec_frames(docs):
     rows = [(1, "one two"), (2, None), (None, "trois ñ"), (1, "one two")]
     ids = sentencepiece_codec.encode(docs(rows, extra="ids"), PIECE_BPE)
