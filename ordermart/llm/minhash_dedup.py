@@ -53,6 +53,8 @@ FINE, FINE_LEAST = 128, 70
 #: given; of larger ones WHOLE_LEAST of the union's must be shared (a pair at
 #: 0.75 fails that with a chance of 1e-7).
 WHOLE, WHOLE_LEAST = 512, 332
+#: A whole set takes the room of so many rows of a few hundred bytes.
+SET_ROWS = 16
 _TOP = np.iinfo(np.uint64).max
 
 
@@ -337,6 +339,8 @@ def _grouped(rows: DataFrame, size: int, similarity: tuple[int, int], k: int, le
     schema = "id long, n long, digest binary, sketch binary, fine binary" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in others)
     sig = cut(rows.mapInArrow(_signatures(size, k), schema), "signatures")
     own = [f.name for f in others]
+    n_docs = sig.count()
+    n_sets = SET_ROWS * n_docs  # whole sets are longer rows
 
     # 1. one representative for each distinct set; r: a dense enough stand-in
     # key, the smallest id, or for sets with null ids only, one below all ids
@@ -345,20 +349,20 @@ def _grouped(rows: DataFrame, size: int, similarity: tuple[int, int], k: int, le
             F.min("id").alias("least"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
             F.count("id").alias("named"),
         ).withColumn("rep", F.coalesce("least", F.xxhash64("digest"))),
-        "classes",
+        "classes", n_docs,
     )
     # ids repeated over different texts must not merge them: such classes get a key of their own
     again = classes.groupBy("rep").count().where("count > 1").select("rep").withColumn("clash", F.lit(True))
     classes = cut(
         classes.join(again, "rep", "left").withColumn("rep", F.when(F.col("clash"), F.xxhash64("digest", "rep")).otherwise(F.col("rep"))).drop("clash"),
-        "classes",
+        "classes", n_docs,
     )
 
     # 2. inverted lists of the rarest values
     reps = classes.select("rep", "n", "sketch")
     values = cut(reps.mapInArrow(_values, "v long, rep long, n long"), "values")
     n_values = values.count()
-    often = cut(values.groupBy("v").agg(F.count("*").alias("f")).where("f > 1"), "often")
+    often = cut(values.groupBy("v").agg(F.count("*").alias("f")).where("f > 1"), "often", n_values)
     shared = lookup(values, often, "v", "f", n_values)
     s = F.least(F.col("n"), F.lit(k))
     need = F.when(F.col("n") >= k, F.lit(least_shared)).otherwise(F.least(F.ceil(s * num / den), F.lit(22 * k // 32)))
@@ -368,7 +372,7 @@ def _grouped(rows: DataFrame, size: int, similarity: tuple[int, int], k: int, le
         .withColumn("take", F.greatest(F.lit(0), s - need + 1 - (s - F.size("l"))))
         .select("rep", "n", F.explode(F.slice("l", F.lit(1), F.col("take").cast("int"))).alias("e"))
         .select(F.col("e.v").alias("v"), F.col("e.f").alias("f"), "rep", "n", F.floor(F.log(F.col("n")) / float(np.log(den / num)) + 1e-9).alias("band")),
-        "postings",
+        "postings", n_values,
     )
 
     # 3. one hub for each list and size band
@@ -386,7 +390,7 @@ def _grouped(rows: DataFrame, size: int, similarity: tuple[int, int], k: int, le
     def may_link(pairs: DataFrame) -> DataFrame:
         return pairs.join(left, "a").join(right, "b").mapInArrow(_estimated(k, num, den, least_shared), "a long, b long, m long, close long")
 
-    first = cut(may_link(cand), "first")
+    first = cut(may_link(cand), "first", 2 * n_values)  # each value is listed in two bands
     # of the hubs of a document (at most one a list) the likeliest two
     best = Window.partitionBy("a").orderBy(F.desc("close"), "b")
     likely = first.withColumn("r", F.row_number().over(best)).where("r <= 2").select("a", "b")
@@ -396,7 +400,7 @@ def _grouped(rows: DataFrame, size: int, similarity: tuple[int, int], k: int, le
 
     def sets_of(ids: DataFrame) -> DataFrame:
         """The full shingle sets of some representatives (distinct)."""
-        wanted = cut(ids.select(F.col("rep").alias("id")).join(with_id, "id", "left_semi"), "wanted")
+        wanted = cut(ids.select(F.col("rep").alias("id")).join(with_id, "id", "left_semi"), "wanted", n_docs)
         # the join moves texts: few besides those that are wanted
         own = likely_in(base, "id", wanted, "id").join(wanted, "id").select("id", "text").mapInArrow(_sets(size), "rep long, set binary")
         own = own.join(classes.select("rep", "n"), "rep").where(F.length("set") == F.col("n") * 8).drop("n").groupBy("rep").agg(F.first("set").alias("set"))
@@ -409,16 +413,16 @@ def _grouped(rows: DataFrame, size: int, similarity: tuple[int, int], k: int, le
         )
         return own.unionByName(other)
 
-    def verify(pairs: DataFrame, label: str) -> DataFrame:
+    def verify(pairs: DataFrame, label: str, n_pairs: int) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        sets = cut(sets_of(ids), "sets")
+        sets = cut(sets_of(ids), "sets", n_sets)
         full = pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("sa")), "a").join(
             sets.select(F.col("rep").alias("b"), F.col("set").alias("sb")), "b"
         ).select("a", "sa", "b", "sb")
-        return cut(full.mapInArrow(_verified(num, den), "a long, b long"), label)
+        return cut(full.mapInArrow(_verified(num, den), "a long, b long"), label, SET_ROWS * n_pairs)
 
-    links = verify(likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    roots = components(links)
+    links = verify(likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links", 2 * n_docs)
+    roots = components(links, rows=2 * n_docs)
 
     # 4. lists whose members are not yet in one component
     rooted = postings.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
@@ -437,7 +441,7 @@ def _grouped(rows: DataFrame, size: int, similarity: tuple[int, int], k: int, le
     prefix = prefix.mapInArrow(_packed_values, "rep long, prefix binary")
     searching = wide.join(open_lists, ["v", "band"], "left_semi").select("rep").distinct()
     smallest = sets_of(searching).select("rep", F.substring("set", 1, 8 * WHOLE).alias("set"))
-    members = cut(smallest.join(prefix, "rep").select("rep", "prefix", "set"), "members")
+    members = cut(smallest.join(prefix, "rep").select("rep", "prefix", "set"), "members", n_sets)
     searched = cut(
         blocked.join(members, "rep")
         .select("v", "band", "p", "q", "side", "rep", "n", "root", "own", "prefix", "set")
@@ -451,16 +455,22 @@ def _grouped(rows: DataFrame, size: int, similarity: tuple[int, int], k: int, le
     apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     side = lambda c: reps.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}")).join(fine.select(F.col("rep").alias(c), F.col("fine").alias(f"f{c}")), c, "left")
     apart = apart.join(side("a"), "a").join(side("b"), "b").mapInArrow(_sifted(num, den), "a long, b long")
-    more = cut(apart.unionByName(searched.where("not sure").select("a", "b")).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"), "second")
+    n_found = searched.count()
+    more = cut(
+        apart.unionByName(searched.where("not sure").select("a", "b")).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"),
+        "second", 2 * n_values + n_found,
+    )
     sure = searched.where("sure").select("a", "b")
     if not more.isEmpty() or not sure.isEmpty():
-        links = cut(links.unionByName(verify(more, "links")).unionByName(sure), "links")
-        roots = components(links)
+        n_more = more.count()
+        n_links = 2 * n_docs + n_more + n_found
+        links = cut(links.unionByName(verify(more, "links", n_more)).unionByName(sure), "links", n_links)
+        roots = components(links, rows=n_links)
 
     # back to every row: the smallest id of the component
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     group = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = cut(named.join(group, "root").select("digest", "copies", "root", "component_id"), "named")
+    named = cut(named.join(group, "root").select("digest", "copies", "root", "component_id"), "named", n_docs)
     n_rows = named.agg(F.sum("copies")).first()[0] or 0
     out = lookup(sig.where("n > 0").select("id", "n", "digest", *own), named, "digest", "copies", n_rows).select("id", "n", "root", "component_id", *own)
     return out.unionByName(sig.where("n = 0").select("id", "n", F.lit(None).cast("long").alias("root"), F.col("id").alias("component_id"), *own))
@@ -504,7 +514,7 @@ def drop_near_duplicates(
                            F.col("id").eqNullSafe(F.col("component_id")).alias("may"), group.alias("group")), "keys")
     best = each.where("may").groupBy("group").agg(F.min("key").alias("key")).select("key", F.lit(True).alias("__stays"))
     verdict = each.join(best, "key", "left").select(F.col("key").alias("__key"), "__copies", "__all", F.coalesce("__stays", F.lit(False)).alias("__stays"))
-    verdict = cut(verdict, "verdict")
+    verdict = cut(verdict, "verdict", each.count())
     n_rows = verdict.agg(F.sum("__copies")).first()[0] or 0
     out = lookup(docs.withColumn("__key", key), verdict, "__key", "__copies", n_rows).where("__stays")
     many = "__copies > 1 and not __all"

@@ -1,6 +1,9 @@
 """Helpers that the corpus operators share."""
 
-from ordermart.llm import kneser_ney
+import glob
+import random
+
+from ordermart.llm import common, kneser_ney
 from ordermart.llm.common import likely_in
 from ordermart.llm.minhash_dedup import near_duplicates
 
@@ -65,3 +68,26 @@ def test_near_duplicates_move_texts_of_candidates_only(docs, monkeypatch):
         assert all(found[500 + i] == i for i in range(10)) and len(set(found.values())) == 200
 
     assert max(after for _, after in _moved(run)) <= 20
+
+
+def test_tables_of_few_rows_have_few_files(llm, docs, monkeypatch):
+    rng = random.Random(31)
+    texts = [" ".join(rng.choices(["oak", "elm", "fir", "ash", "yew", "box"], k=40)) for _ in range(300)]
+    texts += [t + " more" for t in texts[:150]] + texts[:50]
+    folders = []
+    new = common.new_run_dir
+    monkeypatch.setattr(common, "new_run_dir", lambda spark, label: folders.append(new(spark, label)) or folders[-1])
+    monkeypatch.setattr(common, "TASKS_PER_CORE", 1)
+    set_to = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: llm.conf.get(k) for k in set_to}
+    for k, v in set_to.items():
+        llm.conf.set(k, v)
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs(list(enumerate(texts)))).collect()}
+    finally:
+        for k, v in before.items():
+            llm.conf.set(k, v)
+    assert all(got[300 + i] == got[i] for i in range(150)) and all(got[450 + i] == got[i] for i in range(50))
+    files = {f.rsplit("/", 1)[1]: len(glob.glob(f"{f.removeprefix('file:')}/part-*")) for f in folders}
+    assert len(files) > 10
+    assert max(files.values()) <= llm.sparkContext.defaultParallelism, files
