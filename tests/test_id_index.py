@@ -61,3 +61,11 @@ def test_streaming_log_is_compacted_and_exact(spark, tmp_path):
         write(_cands(spark, batch), n)
     assert IdStore(spark, f"{out}/ids").generation(3) == 2
     assert sorted(r["order_id"] for r in read_outputs(spark, out)[0].collect()) == ["N1", "N2"]
+
+
+def test_ids_that_nobody_wants_are_left_out_before_they_are_moved(spark, tmp_path):
+    store = IdStore(spark, str(tmp_path / "ids"), buckets=4)
+    store.start(_ids(spark, [*(f"F{i}" for i in range(5000)), None]))
+    wanted = _ids(spark, [*(f"F{i}" for i in range(0, 5000, 50)), "F0", "new", None])
+    found = [r["order_id"] for r in store.lookup(wanted, 0).collect()]
+    assert {f"F{i}" for i in range(0, 5000, 50)} <= set(found) and len(found) == len(set(found)) <= 110
