@@ -69,3 +69,31 @@ def test_ids_that_nobody_wants_are_left_out_before_they_are_moved(spark, tmp_pat
     wanted = _ids(spark, [*(f"F{i}" for i in range(0, 5000, 50)), "F0", "new", None])
     found = [r["order_id"] for r in store.lookup(wanted, 0).collect()]
     assert {f"F{i}" for i in range(0, 5000, 50)} <= set(found) and len(found) == len(set(found)) <= 110
+
+
+def _broadcast_rows(df):
+    """Rows of each broadcast of the plan that ``df`` ran by."""
+    df.collect()
+    nodes, rows = [df._jdf.queryExecution().executedPlan().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().endswith("QueryStage"):
+            nodes.append(node.plan())
+        elif node.nodeName() == "BroadcastExchange":
+            rows.append(node.metrics().apply("numOutputRows").value())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+def test_many_wanted_ids_are_broadcast_in_few_rows(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    store = IdStore(spark, str(tmp_path / "ids"), buckets=2)
+    name = F.concat(F.lit("F"), F.col("id").cast("string")).alias("order_id")
+    store.start(spark.range(150_000).select(name))
+    wanted = spark.range(100_000, 200_000).select(name)
+    found = store.lookup(wanted)
+    assert found.join(wanted, "order_id", "left_semi").count() == 50_000
+    assert found.distinct().count() < 50_600
+    [rows] = _broadcast_rows(found)
+    assert 0 < rows <= 1 << 14
