@@ -240,3 +240,28 @@ def test_written_tables_are_compressed_well(spark, tmp_path):
     assert files and all(f.name.endswith(".zstd.parquet") for f in files)
     kept = landed(df, "t")
     assert sorted(kept.collect()) == sorted(df.collect()) and all(".zstd." in f for f in kept.inputFiles())
+
+
+def test_records_are_parsed_once_for_both_readers(spark, tmp_path):
+    o = _write(tmp_path, "orders.csv", ORDERS)
+    c = _write(tmp_path, "customers.csv", CUSTOMERS)
+    p = _write(tmp_path, "products.csv", PRODUCTS)
+    raw = csv_inputs(spark, o, c, p)
+    for df in (raw.orders, raw.customers, raw.products, *raw.rejects.values()):
+        plan = df._jdf.queryExecution().toString()
+        assert "regexp_extract_all" not in plan and "split(" not in plan
+    assert raw.orders.count() == 7 and [r["line"] for r in raw.rejects["orders"].collect()] == ["4,q"]
+    assert run_batch(spark, raw, root=str(tmp_path / "wh")).table("bronze_orders").count() == 7
+
+
+def test_records_that_end_in_their_chunk_are_not_moved_again(spark, tmp_path, monkeypatch):
+    from ordermart.sources import csv_records
+
+    kept = {}
+    monkeypatch.setattr(csv_records, "landed", lambda df, label, f=csv_records.landed: kept.setdefault(label, f(df, label)))
+    path = _write(tmp_path, "a.csv", "k,v\n" + "".join(f'{i},"a\nb\n{"x" * (i % 7)}"\n' for i in range(300)))
+    whole, long = csv_records.records(csv_records.land_lines(spark, path, ["k", "v"]))
+    assert [r["line"] for r in whole.orderBy("row").collect()] == ["k,v", *(f'{i},"a\nb\n{"x" * (i % 7)}"' for i in range(300))]
+    assert long.count() == 0
+    part = kept["csv-part"]
+    assert part.count() == 300 + 3 and part.where("NOT ended").count() == 3  # the lines of the last one
